@@ -3,18 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import lm_scoring
+from . import lm_scoring, media_png, mixing, sharding, token_counts
+
+SHARD_BYTES = 1 << 20
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_corpus(C.table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = C.to_table(media_png.store_texts(C.table(spark, sf_dir, "documents")), "media")
+    return media_png.read_features(stored)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(C.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign_shards(docs, SHARD_BYTES).select("row.doc_id", "shard", "depth", "page", F.col("bytes").alias("shard_bytes"))
+
+
 def queries() -> dict:
-    return {"op1_lm_scoring": op1_lm_scoring}
+    return {f.__name__: f for f in (op1_lm_scoring, op4_mixing, op6_media, op8_token_counts, op9_sharding)}
+
+
+SHARDING_SQL = f"""
+WITH keyed AS (
+  SELECT doc_id, ('0x' || substr(md5(concat_ws(chr(31), doc_id::VARCHAR, text)), 1, 15))::BIGINT AS key,
+         coalesce(strlen(text), 0)::BIGINT AS size
+  FROM documents),
+nodes AS (
+  SELECT doc_id, key, d, key >> (60 - d) AS prefix,
+         sum(size) OVER (PARTITION BY d, key >> (60 - d))::BIGINT AS bytes,
+         count(*) OVER (PARTITION BY d, key >> (60 - d)) AS docs
+  FROM keyed, (SELECT unnest(range(0, 61))::INT AS d)),
+leaf AS (
+  SELECT doc_id, key, min(d) AS depth FROM nodes WHERE bytes <= {SHARD_BYTES} OR docs = 1 OR d = 60 GROUP BY doc_id, key)
+SELECT n.doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(n.prefix), depth, '0') END AS shard, depth,
+       0::BIGINT AS page, n.bytes AS shard_bytes
+FROM leaf JOIN nodes n ON n.doc_id = leaf.doc_id AND n.key = leaf.key AND n.d = leaf.depth
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_sharding": SHARDING_SQL}
