@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import lm_scoring, media_png, mixing, sharding, token_counts
+from . import jaccard_join, lm_scoring, media_png, mixing, sharding, token_counts
 
 SHARD_BYTES = 1 << 20
 
@@ -36,8 +36,30 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, SHARD_BYTES).select("row.doc_id", "shard", "depth", "page", F.col("bytes").alias("shard_bytes"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(C.table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_lm_scoring, op4_mixing, op6_media, op8_token_counts, op9_sharding)}
+    return {f.__name__: f for f in (op1_lm_scoring, op4_mixing, op6_media, op8_token_counts, op9_sharding, op10_jaccard_join)}
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
 
 
 SHARDING_SQL = f"""
@@ -59,4 +81,4 @@ FROM leaf JOIN nodes n ON n.doc_id = leaf.doc_id AND n.key = leaf.key AND n.d =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_sharding": SHARDING_SQL}
+    return {"op9_sharding": SHARDING_SQL, "op10_jaccard_join": JACCARD_SQL}
