@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import jaccard_join, lm_scoring, media_png, mixing, sharding, token_counts
+from . import decontamination, jaccard_join, language_id, lm_scoring, media_png, mixing, quality, sharding, token_counts, warc_zstd
 
 SHARD_BYTES = 1 << 20
 
@@ -15,16 +15,36 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_corpus(C.table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", "score", "keep")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = C.table(spark, sf_dir, "pages")
+    manifest = warc_zstd.write_pages(pages, C.scratch_path(spark, "warc"))
+    found = warc_zstd.read_pages(manifest)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "stored_bytes")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = C.to_table(media_png.store_texts(C.table(spark, sf_dir, "documents")), "media")
     return media_png.read_features(stored)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(C.table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,7 +61,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_lm_scoring, op4_mixing, op6_media, op8_token_counts, op9_sharding, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_quality, op3_warc, op4_mixing, op5_decontamination, op6_media, op7_language_id, op8_token_counts, op9_sharding, op10_jaccard_join)}
 
 
 JACCARD_SQL = r"""
