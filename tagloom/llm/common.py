@@ -201,3 +201,12 @@ def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
         out.append(np.frombuffer(raw, kind, n, at + 8))
         at += 8 + n * np.dtype(kind).itemsize
     return out
+
+
+def planes(x: np.ndarray) -> np.ndarray:
+    """Unsigned integers as their bytes, all lowest ones first: what is small packs to little."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).ravel()
+
+
+def unplanes(x: np.ndarray, kind) -> np.ndarray:
+    return np.ascontiguousarray(x.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()

@@ -29,7 +29,7 @@ from . import common as C
 #: Of seven parts of the documents by crc32 of the id, the one never learnt from, and the deleted one.
 PARTS, TEST_PART, DELETED_PART = 7, 2, 3
 #: Text bytes of a block; keys that a counting task should hold at a time.
-BLOCK_BYTES, BUCKET_KEYS = 8 << 20, 1_500_000
+BLOCK_BYTES, BUCKET_KEYS = 8 << 20, 1_000_000
 #: Context buckets: none, then powers of two.  Cells to an octave of a ratio, and octaves covered.
 CONTEXT_BUCKETS, GRID, OCTAVES = 28, 4, 48
 CELLS = GRID * OCTAVES
@@ -52,7 +52,11 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(h & ~_U1)  # even: a word; odd: a pair
             counts.append(n)
         words, n = np.concatenate(hashes), np.concatenate(counts)
-        vocab, ids = np.unique(words, return_inverse=True)
+        vocab, ids, many = np.unique(words, return_inverse=True, return_counts=True)
+        order = np.argsort(-many, kind="stable")  # frequent words get small numbers, which pack well
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        vocab, ids = vocab[order], rank[ids]
         id_col = C.only_chunk(chunk, "doc_id")
         null = id_col.is_null().to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_pylist(
@@ -62,7 +66,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "ids": C.pack(id_col.fill_null(0).to_numpy(zero_copy_only=False), null, C.only_chunk(chunk, "part").to_numpy(zero_copy_only=False).astype(np.int8)),
                     "vocab": vocab.tobytes(),
                     "spans": C.pack(n.astype(np.int64)),
-                    "tokens": C.pack(ids.astype(np.uint32)),
+                    "tokens": C.pack(C.planes(ids)),
                 }
             ],
             schema=pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vocab", pa.binary()), ("spans", pa.binary()), ("tokens", pa.binary())]),
@@ -77,13 +81,13 @@ class _Block:
         self.ids, self.null, self.part = C.unpack(row["ids"], np.int64, bool, np.int8)
         vocab = np.frombuffer(row["vocab"], np.uint64)
         (self.spans,) = C.unpack(row["spans"], np.int64)
-        (ids,) = C.unpack(row["tokens"], np.uint32)
+        ids = C.unplanes(C.unpack(row["tokens"], np.uint8)[0], np.uint32)
         v = len(vocab)
         names = np.concatenate([vocab, [_END, _START]])
         docs = len(self.spans)
         stops = np.cumsum(self.spans + 1)  # each text with its end token
         self.last = stops - 1
-        word = np.empty(int(stops[-1]) if docs else 0, np.int64)
+        word = np.empty(int(stops[-1]) if docs else 0, np.int32)
         rest = np.ones(len(word), bool)
         rest[self.last] = False
         word[rest] = ids
@@ -91,15 +95,17 @@ class _Block:
         context = np.empty_like(word)
         context[1:] = word[:-1]
         context[stops - self.spans - 1] = v + 1
-        self.doc = np.repeat(np.arange(docs), self.spans + 1)
-        code = context * (v + 2) + word
-        pairs, self.pair = np.unique(code, return_inverse=True)
+        self.doc = np.repeat(np.arange(docs, dtype=np.int32), self.spans + 1)
+        pairs, pair = np.unique(context.astype(np.int64) * (v + 2) + word, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del pair, rest, ids
         left, right = np.divmod(pairs, v + 2)
         hashes = C.mix(names[left] * np.uint64(0xC2B2AE3D27D4EB4F) + names[right]) | _U1
         self.word, self.context = word, context
         keys = np.concatenate([names, hashes])
         # a word of the text may hash like another; equal keys then share one entry
-        self.keys, self.place = np.unique(keys, return_inverse=True)
+        self.keys, place = np.unique(keys, return_inverse=True)
+        self.place = place.astype(np.int32)
         self.v = v
 
     def counts(self, mask: np.ndarray) -> np.ndarray:
@@ -116,6 +122,16 @@ class _Block:
         return np.searchsorted(((self.keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
 
 
+def _packed_keys(keys: np.ndarray, *counts: np.ndarray) -> bytes:
+    """Ascending keys as differences, and their counts."""
+    return C.pack(C.planes(np.diff(keys, prepend=np.uint64(0))), *map(C.planes, counts))
+
+
+def _unpacked_keys(blob: bytes) -> tuple[np.ndarray, ...]:
+    keys, *counts = C.unpack(blob, np.uint8, np.uint8, np.uint8)
+    return np.cumsum(C.unplanes(keys, np.uint64), dtype=np.uint64), *(C.unplanes(x, np.uint32) for x in counts)
+
+
 def _ask(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,28 +140,29 @@ def _ask(buckets: int):
                 learnt = b.part != TEST_PART
                 full, deleted = b.counts(learnt), b.counts(b.part == DELETED_PART)
                 at = b.bounds(buckets)
-                out = [(k, C.pack(b.keys[x:y], full[x:y], deleted[x:y])) for k, (x, y) in enumerate(zip(at, at[1:])) if y > x]
+                out = [(k, _packed_keys(b.keys[x:y], full[x:y], deleted[x:y])) for k, (x, y) in enumerate(zip(at, at[1:])) if y > x]
+                del b, full, deleted
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(out), pa.int64()), pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["block", "bucket", "payload"])
 
     return run
 
 
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
-    asked = [C.unpack(x, np.uint64, np.uint32, np.uint32) for x in pdf["payload"]]
+    asked = [_unpacked_keys(x) for x in pdf["payload"]]
     keys, place = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
     full = np.bincount(place, np.concatenate([x[1] for x in asked]), len(keys)).astype(np.int64)
     deleted = np.bincount(place, np.concatenate([x[2] for x in asked]), len(keys)).astype(np.int64)
     cuts = np.cumsum([0, *(len(x[0]) for x in asked)])
     word = (keys & _U1 == 0) & (keys != _START)
-    rows = [(int(b), int(k), C.pack(full[place[x:y]], deleted[place[x:y]]), 0, 0, 0, 0) for b, k, x, y in zip(pdf["block"], pdf["bucket"], cuts, cuts[1:])]
+    rows = [(int(b), int(k), C.pack(C.planes(full[place[x:y]]), C.planes(deleted[place[x:y]])), 0, 0, 0, 0) for b, k, x, y in zip(pdf["block"], pdf["bucket"], cuts, cuts[1:])]
     rows.append((-1, int(pdf["bucket"].iloc[0]), b"", int((full[word] > 0).sum()), int(full[word].sum()), int(deleted[word].sum()), int((full[word] > deleted[word]).sum())))
     return pd.DataFrame(rows, columns=["block", "bucket", "counts", "types", "tokens", "deleted", "kept_types"])
 
 
 def _looked_up(left: pd.DataFrame, right: pd.DataFrame):
     b = _Block(left.iloc[0].to_dict())
-    got = [C.unpack(x, np.int64, np.int64) for x in right.sort_values("bucket")["counts"]]
-    full, deleted = (np.concatenate([x[i] for x in got])[b.place] for i in (0, 1))
+    got = [C.unpack(x, np.uint8, np.uint8) for x in right.sort_values("bucket")["counts"]]
+    full, deleted = (np.concatenate([C.unplanes(x[i], np.int64) for x in got])[b.place] for i in (0, 1))
     return b, full, deleted
 
 
