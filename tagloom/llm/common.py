@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that a Python task turns into arrays at a time (a longer document stands alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
