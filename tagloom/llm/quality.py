@@ -1,5 +1,7 @@
 """A quality classifier by co-training: one view of a document's text, one of its metadata.
 
+Low quality and toxicity are two targets, each with its own two views and its own threshold.
+
 Both views are logistic models.  In each round either view labels the unlabelled documents it is
 surest of, and these join the other view's training rows.  In the end each view is calibrated on
 labelled documents that were set aside, and a logistic model of the two calibrated views scores all
@@ -25,14 +27,16 @@ from . import common as C
 LABELLED, POOL, ROUNDS, GIVEN = 5000, 3000, 4, 150
 #: Hashed words of the text view, hashed values of the metadata view, share of labels set aside.
 WORDS, METADATA, ASIDE = 1 << 16, 512, 0.3
-#: Share of good documents set aside that the threshold must keep; the threshold is 1/2 at most.
-KEPT = 0.995
+#: Standard deviations by which a feature's count among fine rows must be off to have a say in the
+#: text view, and rows that must have it; share of fine documents set aside that a threshold may lose.
+SIGNIFICANT, SEEN, LOST = 4.0, 3, 0.015
 
 _CLASSES = {"upper": range(65, 91), "digit": range(48, 58), "mark": b"!?", "pipe": b"|<>{}[]", "odd": b"#$%&*+=@^_~\\/", "line": b"\n"}
 _CLASS = np.zeros(256, np.int64)
 for _i, _members in enumerate(_CLASSES.values(), 1):
     _CLASS[list(_members)] = _i
 _STATS = len(_CLASSES) + 4
+TEXT = WORDS + _STATS * 12
 
 
 def _buckets(x: float, cuts: int = 12) -> int:
@@ -65,13 +69,14 @@ def metadata_view(source: str | None, lang: str | None, n_chars: int | None) ->
 
 
 class Sparse:
-    """Rows of active features; words weigh 1/sqrt of their number, so long texts are no surer."""
+    """Rows of active features, each with the value that ``scale`` gives its column (1 if None).  A
+    feature's value is the same in a long text as in a short one."""
 
-    def __init__(self, rows: list[np.ndarray], width: int, words: int = 0):
+    def __init__(self, rows: list[np.ndarray], width: int, scale: np.ndarray | None = None):
         self.n, self.width = len(rows), width
         self.col = np.concatenate([np.zeros(0, np.int32), *rows])
         self.row = np.repeat(np.arange(self.n), [len(x) for x in rows])
-        self.value = row_weights(self.col, self.row, self.n, words)
+        self.value = np.ones(len(self.col)) if scale is None else scale[self.col]
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col] * self.value, self.n) + w[-1]
@@ -80,13 +85,14 @@ class Sparse:
         return np.append(np.bincount(self.col, r[self.row] * self.value, self.width), r.sum())
 
 
-def row_weights(col: np.ndarray, row: np.ndarray, n: int, words: int) -> np.ndarray:
-    value = np.ones(len(col))
-    if words:
-        word = col < words
-        many = np.bincount(row[word], minlength=n)
-        value[word] = 1 / np.sqrt(np.sqrt(many[row[word]]))
-    return value
+def log_ratios(rows: list[np.ndarray], y: np.ndarray, width: int) -> np.ndarray:
+    """Each feature's log odds of a fine row against those of all rows; 0 where chance explains it."""
+    col = np.concatenate([np.zeros(0, np.int32), *rows])
+    seen = np.bincount(col, minlength=width).astype(float)
+    fine = np.bincount(col, np.repeat(y, [len(x) for x in rows]), width)
+    base = y.mean()
+    off = (np.abs(fine - seen * base) - 0.5) / np.sqrt(np.maximum(1, seen) * base * (1 - base))
+    return np.where((off > SIGNIFICANT) & (seen >= SEEN), np.log((fine + 0.5) / (seen - fine + 0.5) * (1 - base) / base), 0.0)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -126,35 +132,60 @@ class _Columns:
 
 
 class Model:
-    def __init__(self, text: np.ndarray, metadata: np.ndarray, platt: np.ndarray, mix: np.ndarray, threshold: float):
+    """The views of one target, their calibration and mix, and the target's threshold."""
+
+    def __init__(self, text: np.ndarray, metadata: np.ndarray, platt: list, mix: np.ndarray, threshold: float):
         self.text, self.metadata, self.platt, self.mix, self.threshold = text.astype(np.float32), metadata.astype(np.float32), platt, mix, threshold
 
     def score(self, texts: list[np.ndarray], metadata: list[np.ndarray]) -> np.ndarray:
-        views = [Sparse(texts, WORDS + _STATS * 12, WORDS).dot(self.text), Sparse(metadata, METADATA).dot(self.metadata)]
+        views = [Sparse(rows, len(w) - 1).dot(w) for rows, w in ((texts, self.text), (metadata, self.metadata))]
         calibrated = [v * a + b for v, (a, b) in zip(views, self.platt)]
         return _sigmoid(_Columns(*calibrated).dot(self.mix))
 
 
+def cut(p: np.ndarray, fine: np.ndarray) -> float:
+    """The threshold of ``p`` that catches the most of the rows that are not fine, less what it loses
+    of the fine ones, of which it loses LOST at most; 0 where nothing is gained."""
+    values = np.unique(p)
+    at = np.append(0.0, (values[1:] + values[:-1]) / 2)
+    below = lambda x: np.searchsorted(np.sort(x), at) / max(1, len(x))
+    lost = below(p[fine > 0])
+    gain = np.where(lost <= LOST, below(p[fine <= 0]) - lost, -1.0)
+    return float(at[int(gain.argmax())])
+
+
+def _fit_text(rows: list, y: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    scale = log_ratios(rows, y, TEXT)
+    fitted = logistic(Sparse(rows, TEXT, scale), y, _even(y), np.append(np.where(scale, start[:-1] / np.where(scale, scale, 1), 0), start[-1]), steps)
+    return fitted * np.append(scale, 1)
+
+
+def _fit_metadata(rows: list, y: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    return logistic(Sparse(rows, METADATA), y, _even(y), start, steps)
+
+
 def co_train(texts: list, metadata: list, y: np.ndarray, pool_texts: list, pool_metadata: list) -> Model | None:
-    """Fits both views; None when only one class is labelled."""
+    """Fits both views of a target, 1 in ``y`` for fine rows; None when only one class is labelled."""
     if len(set(y.tolist())) < 2:
         return None
-    aside = np.arange(len(y)) % 10 < 10 * ASIDE
+    # set aside of each class alike, so that a rare one is there to be calibrated on
+    aside = np.zeros(len(y), bool)
+    for k in (0, 1):
+        of = np.flatnonzero(y == k)
+        aside[of] = np.arange(len(of)) % 10 < 10 * ASIDE
     if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
         aside = np.zeros(len(y), bool)  # too few labels: the same rows fit and calibrate
     fit_on, check_on = np.flatnonzero(~aside), np.flatnonzero(aside) if aside.any() else np.arange(len(y))
-    shapes = ((WORDS + _STATS * 12, WORDS), (METADATA, 0))
     rows = [[v[i] for i in fit_on] for v in (texts, metadata)]
     pools = (pool_texts, pool_metadata)
     labels = [list(y[fit_on]), list(y[fit_on])]
-    weights = [np.zeros(shape[0] + 1) for shape in shapes]
+    weights = [np.zeros(TEXT + 1), np.zeros(METADATA + 1)]
     free = np.ones(len(pool_texts), bool)
-    all_pool = [Sparse(p, *shape) for p, shape in zip(pools, shapes)]
+    all_pool = [Sparse(p, len(w) - 1) for p, w in zip(pools, weights)]
     base = float(y.mean())
     for step in range(ROUNDS + 1):
-        for v in (0, 1):
-            target = np.array(labels[v], float)
-            weights[v] = logistic(Sparse(rows[v], *shapes[v]), target, _even(target), weights[v], 120 if step == 0 else 40)
+        for v, fit_view in enumerate((_fit_text, _fit_metadata)):
+            weights[v] = fit_view(rows[v], np.array(labels[v], float), weights[v], 120 if step == 0 else 40)
         if step == ROUNDS or not free.any():
             break
         for v in (0, 1):  # what this view is surest of becomes a label for the other one
@@ -167,13 +198,24 @@ def co_train(texts: list, metadata: list, y: np.ndarray, pool_texts: list, pool_
                         labels[1 - v].append(good)
                         free[i] = False
     target = y[check_on].astype(float)
-    views = [Sparse([v[i] for i in check_on], *shape).dot(w) for v, shape, w in zip((texts, metadata), shapes, weights)]
+    views = [Sparse([v[i] for i in check_on], len(w) - 1).dot(w) for v, w in zip((texts, metadata), weights)]
     ones = np.ones(len(target))
     platt = [logistic(_Columns(v), target, ones, np.array([1.0, 0.0]), 400, 0.1) for v in views]
     calibrated = [v * a + b for v, (a, b) in zip(views, platt)]
     mix = logistic(_Columns(*calibrated), target, ones, np.array([1.0, 0.0, 0.0]), 400, 0.1)
-    p = _sigmoid(_Columns(*calibrated).dot(mix))
-    return Model(*weights, platt, mix, float(min(0.5, np.quantile(p[target > 0], 1 - KEPT))))
+    model = Model(*weights, platt, mix, 0.0)
+    model.threshold = cut(model.score(*([v[i] for i in check_on] for v in (texts, metadata))), target)
+    return model
+
+
+def judged(models: list[Model], texts: list[np.ndarray], metadata: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(score, keep): the product of the targets' probabilities, and whether each reaches its threshold."""
+    score, keep = np.ones(len(texts)), np.ones(len(texts), bool)
+    for model in models:
+        p = model.score(texts, metadata)
+        score *= p
+        keep &= p >= model.threshold
+    return score, keep
 
 
 def _viewed(batch: pa.RecordBatch, names: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -199,11 +241,13 @@ def _least(ids: DataFrame, n: int) -> DataFrame:
     return ids.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).orderBy("_h", "_id").limit(n).drop("_h")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, columns: list) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, columns: list) -> list[Model]:
+    """A model of each target of which both classes are labelled."""
     own = docs.select(F.col(id_col).alias("_id"), *columns)
-    # an id with several labels is good only if all of them say so
-    good = F.min(F.when((F.col("quality") > 0) & (F.coalesce("toxic", F.lit(0)) <= 0), 1).otherwise(0))
-    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(good.alias("_label"))
+    # an id with several labels is good, or clean, only if all of them say so; bits 1 and 2 of the label
+    good = F.min(F.when(F.col("quality") > 0, 1).otherwise(0))
+    clean = F.min(F.when(F.coalesce("toxic", F.lit(0)) <= 0, 2).otherwise(0))
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg((good + clean).alias("_label"))
     chosen = C.to_table(_least(known, LABELLED), "quality-labels")
     others = C.to_table(_least(own.select("_id").where(F.col("_id").isNotNull()).join(known.select("_id"), "_id", "left_anti").distinct(), POOL).withColumn("_label", F.lit(-1)), "quality-pool")
     picked = F.broadcast(chosen.unionByName(others))  # LABELLED + POOL rows at most
@@ -211,26 +255,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, columns: list) -> Model
     texts, metadata = ([np.frombuffer(r[k], np.int32) for r in rows] for k in ("text", "metadata"))
     y = np.array([r["_label"] for r in rows], np.int64)
     split = lambda v, of: [v[i] for i in np.flatnonzero(of)]
-    return co_train(split(texts, y >= 0), split(metadata, y >= 0), y[y >= 0], split(texts, y < 0), split(metadata, y < 0))
+    models = [co_train(split(texts, y >= 0), split(metadata, y >= 0), y[y >= 0] >> bit & 1, split(texts, y < 0), split(metadata, y < 0)) for bit in (0, 1)]
+    return [m for m in models if m]
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars") -> DataFrame:
     """(row, score, keep) of each document, where ``row`` holds its own columns, whatever their names.
 
-    A document is good if its label has quality 1 and is not toxic; ``score`` is the calibrated
-    probability of that and ``keep`` whether it reaches the threshold.  Null texts count as empty,
-    null metadata is a value of its own.  Repeated rows are each scored.  Where no two classes are
-    labelled everything scores 1 and stays.  An empty table gives no rows.
+    A document is good if its label has quality 1 and is not toxic; ``score`` is the product of the
+    calibrated probabilities of both and ``keep`` whether each of them reaches its threshold.  Null
+    texts count as empty, null metadata is a value of its own.  Repeated rows are each scored.  A
+    target of which only one class is labelled scores 1 and drops nothing.  An empty table gives no
+    rows.
     """
     columns = _inputs(docs, text_col, source_col, lang_col, size_col)
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, columns))
+    models = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, columns))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            score = model.value.score(*_viewed(batch, _VIEW)) if model.value and n else np.ones(n)
-            keep = score >= (model.value.threshold if model.value else 0.0)
+            score, keep = judged(models.value, *_viewed(batch, _VIEW)) if n else (np.ones(0), np.ones(0, bool))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(keep, pa.bool_())], ["row", "score", "keep"])
 
     rows = docs.select(row, *columns)
