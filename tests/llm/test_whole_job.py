@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.llm import common as C
-from tagloom.llm import quality
+from tagloom.llm import jaccard_join, quality
 
 SF = "/root/testdata/sf0.1"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
@@ -20,3 +20,13 @@ def test_quality_catches_toxic_and_poor_rows_that_it_did_not_see(spark):
     assert share("quality > 0 and toxic = 0") > 0.94
     assert share("quality = 0") < 0.1
     assert share("toxic = 1") < 0.3 and share("toxic = 1 and quality > 0") < 0.3
+
+
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    texts = [" ".join(f"{g}{i}" for i in range(60)) for g in "abc"]
+    near = lambda text, k: text + f" tail{k}"
+    data = [(1, near(texts[0], k)) for k in range(4)] + [(None, near(texts[1], k)) for k in range(5)] + [(None, near(texts[2], 0)), (9, near(texts[2], 1)), (9, near(texts[2], 1))]
+    blank = [(3, ""), (3, ""), (None, None), (None, None), (4, " \n")]
+    kept = jaccard_join.one_of_each(spark.createDataFrame(data + blank, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["text"][0], str(r["doc_id"])) for r in kept if (r["text"] or "").strip()) == [("a", "1"), ("b", "None"), ("c", "9")]
+    assert sum(not (r["text"] or "").strip() for r in kept) == len(blank)
