@@ -3,7 +3,8 @@
 Items and documents are compared as words without case and ASCII punctuation.  An item's seeds are
 its word trigrams; how often each occurs in the whole corpus decides which are rare.  Where a
 document holds a rare seed, the passage around it is aligned with the item, word by word, so that
-copies with changed, missing or added words score as well.
+copies with changed, missing or added words score as well.  A passage with common seeds only is
+aligned if enough of its words are the item's for the score to be reached, so none is lost.
 
 The items are taken in blocks of bounded size, broadcast to all documents: nothing of a document is
 shuffled, and a passage that very many documents share costs each of them its own alignment only.
@@ -58,13 +59,11 @@ class Items:
         self.seeds, self.item, self.place = self.seeds[order], self.item[order], self.place[order]
         self.values, self.first, self.many = np.unique(self.seeds, return_index=True, return_counts=True)
 
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Keeps an item's seeds that are rare, and those no more common than its median seed."""
+    def mark_rare(self, counts: np.ndarray) -> None:
+        """Marks an item's seeds that are rare, and those no more common than its median seed."""
         of = counts[np.searchsorted(self.values, self.seeds)]
         middle = pd.Series(of).groupby(self.item).transform("median").to_numpy() if len(of) else of
-        keep = (of <= RARE) | (of <= middle)
-        self.seeds, self.item, self.place = self.seeds[keep], self.item[keep], self.place[keep]
-        self.sort()
+        self.rare = (of <= RARE) | (of <= middle)
 
     def hits(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, seed's index) of all seeds in the documents' words."""
@@ -101,7 +100,7 @@ def _passages(items: Items, words: np.ndarray, counts: np.ndarray):
     reps = items.many[which]
     position = np.repeat(at, reps)
     entry = np.repeat(items.first[which] - np.cumsum(reps) + reps, reps) + np.arange(len(position))
-    item, place = items.item[entry], items.place[entry]
+    item, place, rare = items.item[entry], items.place[entry], items.rare[entry]
     stops = np.cumsum(counts)
     doc = np.searchsorted(stops, position, side="right")
     length = np.fromiter(map(len, items.words), np.int64, len(items.words))[item]
@@ -109,14 +108,14 @@ def _passages(items: Items, words: np.ndarray, counts: np.ndarray):
     start = np.maximum(position - place - slack, (stops - counts)[doc])
     end = np.minimum(position - place + length + slack, stops[doc])
     order = np.lexsort((start, doc, item))
-    doc, item, start, end = doc[order], item[order], start[order], end[order]
+    doc, item, start, end, rare = doc[order], item[order], start[order], end[order], rare[order]
     # overlapping windows of one document and item are one passage
     reach = np.maximum.accumulate(end + (item * len(counts) + doc) * (len(words) + 1)) - (item * len(counts) + doc) * (len(words) + 1)
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] >= reach[:-1])
     heads = np.flatnonzero(new)
     doc, item, start = doc[heads], item[heads], start[heads]
-    end = np.maximum.reduceat(end, heads)
+    end, rare = np.maximum.reduceat(end, heads), np.logical_or.reduceat(rare, heads)
     padded = np.concatenate([words, np.zeros(int((end - start).max()), np.uint64)])
     for i in np.unique(item):
         mine = np.flatnonzero(item == i)
@@ -126,13 +125,17 @@ def _passages(items: Items, words: np.ndarray, counts: np.ndarray):
             width = int((end - start)[mine[min(len(mine) - 1, at_ + 255)]])
             part = mine[at_ : at_ + max(1, min(256, 2_000_000 // max(1, width)))]
             width = int((end - start)[part].max())
+            at_ += len(part)
             cell = start[part][:, None] + np.arange(width)
-            score = align(items.words[i], np.where(cell < end[part][:, None], padded[cell], np.uint64(0)))
+            window = np.where(cell < end[part][:, None], padded[cell], np.uint64(0))
+            if not rare[part].all():  # a score takes so many words in common at least
+                able = rare[part] | (np.isin(window, items.words[i]).sum(1) >= THRESHOLD * len(items.words[i]))
+                part, window = part[able], window[able]
+            score = align(items.words[i], window)
             share = score / (MATCH * len(items.words[i]))
             for k in np.flatnonzero(share >= THRESHOLD):
                 d = doc[part[k]]
                 yield int(d), int(i), float(share[k]), int(start[part[k]] - (stops - counts)[d]), int(end[part[k]] - (stops - counts)[d])
-            at_ += len(part)
 
 
 def _counted(items):
@@ -189,9 +192,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         counts = np.zeros(len(items.values), np.int64)
         for row in rows.select("text").mapInArrow(_counted(seeds), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
             counts[row["seed"]] = row["n"]
-        rare = Items(items.ids, part.column(1).to_pylist())
-        rare.keep_rare(counts)
-        found = rows.mapInArrow(_aligned(spark.sparkContext.broadcast(rare), names, part.schema), ddl)
+        marked = Items(items.ids, part.column(1).to_pylist())
+        marked.mark_rare(counts)
+        found = rows.mapInArrow(_aligned(spark.sparkContext.broadcast(marked), names, part.schema), ddl)
         out = found if out is None else out.unionByName(found)
     return out
 

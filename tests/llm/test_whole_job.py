@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.llm import common as C
-from tagloom.llm import jaccard_join, quality
+from tagloom.llm import decontamination, jaccard_join, quality
 
 SF = "/root/testdata/sf0.1"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
@@ -30,3 +30,11 @@ def test_one_of_each_with_repeated_and_null_ids(spark):
     kept = jaccard_join.one_of_each(spark.createDataFrame(data + blank, "doc_id long, text string").repartition(3)).collect()
     assert sorted((r["text"][0], str(r["doc_id"])) for r in kept if (r["text"] or "").strip()) == [("a", "1"), ("b", "None"), ("c", "9")]
     assert sum(not (r["text"] or "").strip() for r in kept) == len(blank)
+
+
+def test_contamination_of_an_item_half_of_which_is_common(spark):
+    item = [f"q{k}" for k in range(40)]
+    copies = 3 * decontamination.RARE
+    data = [(k, f"before{k} " + " ".join(item[:21]) + f" after{k}") for k in range(copies)] + [(copies, " ".join(item[:12]))]
+    found = decontamination.contaminated(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(copies)) and all(r["score"] >= 0.5 for r in found)
