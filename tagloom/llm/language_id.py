@@ -3,7 +3,8 @@ between each two languages of the family.
 
 Features are hashed byte trigrams of the whole text, lower-cased, with all ASCII that is no letter as
 one space.  Models are fitted on the driver from a bounded sample of labelled rows (PER_LANGUAGE of
-each language, those with the least hash); scoring reads every text.
+each language, those with the least hash, or fewer where ROWS do not give every language as many);
+scoring reads every text.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PARTS, TEST_PART = 5, 0
-#: Labelled rows of each language that are learnt from, and languages with enough of a say to be
-#: learnt; dimensions of the features.
-PER_LANGUAGE, LANGUAGES, DIMS = 800, 64, 1 << 12
+#: Labelled rows of each language that are learnt from, rows of all languages together, rows that
+#: each language has at least; dimensions of the features.
+PER_LANGUAGE, ROWS, FEWEST, DIMS = 800, 51200, 8, 1 << 12
 #: Families of languages by ISO 639-1 code.  A language that is not here is a family
 #: of its own.
 FAMILIES = {
@@ -126,19 +127,20 @@ class Model:
 def fit(docs: DataFrame) -> Model | None:
     """A model from (doc_id, text, lang, part): rows outside the test part with a language."""
     known = docs.where((F.col("part") != TEST_PART) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     if not langs:
         return None
+    each = min(PER_LANGUAGE, max(FEWEST, ROWS // len(langs)))
     x, y = [], []
     for lang in langs:
         order = F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text")
         picked = known.where(F.col("lang") == lang).select("doc_id", "text", *(o.alias(f"o{i}") for i, o in enumerate(order)))
-        ids = picked.select("o0", "o1").orderBy("o0", "o1").limit(PER_LANGUAGE)
+        ids = picked.select("o0", "o1").orderBy("o0", "o1").limit(each)
         last = ids.orderBy(F.desc("o0"), F.desc("o1")).first()
         if last is None:
             continue
         within = (F.col("o0") < last["o0"]) | ((F.col("o0") == last["o0"]) & (F.col("o1") <= last["o1"]))
-        rows = picked.where(within).select("text").mapInArrow(_featurise, "x binary").limit(2 * PER_LANGUAGE).collect()
+        rows = picked.where(within).select("text").mapInArrow(_featurise, "x binary").limit(2 * each).collect()
         x += [np.frombuffer(r["x"], np.float32) for r in rows]
         y += [lang] * len(rows)
     order = np.lexsort((np.array([z.tobytes() for z in x]), np.array(y)))  # the same however rows arrive

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.llm import common as C
-from tagloom.llm import decontamination, jaccard_join, quality
+from tagloom.llm import decontamination, jaccard_join, language_id, quality
 
 SF = "/root/testdata/sf0.1"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
@@ -38,3 +38,10 @@ def test_contamination_of_an_item_half_of_which_is_common(spark):
     data = [(k, f"before{k} " + " ".join(item[:21]) + f" after{k}") for k in range(copies)] + [(copies, " ".join(item[:12]))]
     found = decontamination.contaminated(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()
     assert sorted(r["doc_id"] for r in found) == list(range(copies)) and all(r["score"] >= 0.5 for r in found)
+
+
+def test_languages_beyond_sixty_four_are_learnt(spark):
+    langs = [f"x{k}" for k in range(66)]
+    data = [(10 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{w}" for w in "qabc") * 3, lang) for k, lang in enumerate(langs) for i in range(3)]
+    got = language_id.identify(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    assert len({r["lang_pred"] for r in got.collect()} & set(langs)) > 64
