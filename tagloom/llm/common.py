@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -27,9 +28,11 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one where it
-    is unset (a single-machine session such as a test)."""
+    is unset and the session runs on one machine, such as in a test."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tagloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():
@@ -38,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the driver ends."""
+    """A new path in the shared folder; it goes when the driver ends, if not before."""
     path = f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
     atexit.register(drop_path, spark, path)
     return path
@@ -53,16 +56,44 @@ def drop_path(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextlib.contextmanager
+def tidy(spark: SparkSession):
+    """Executions within leave no shuffle files behind when they end."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def to_table(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with tidy(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_at = path
+    return out
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def free(*tables: DataFrame) -> None:
+    """Deletes tables of ``to_table`` whose last reader has run."""
+    for df in tables:
+        drop_path(df.sparkSession, df.scratch_at)
+
+
+def fresh(names: list[str], *wanted: str) -> list[str]:
+    """The wanted column names, each with as many underscores ahead as make it new among ``names``."""
+    taken, out = {x.lower() for x in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
