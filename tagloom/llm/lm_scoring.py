@@ -10,7 +10,8 @@ the texts as indices into them).  Each block then asks for the corpus counts of
 and word pairs: the keys are dealt by hash to buckets, each bucket sums what all blocks hold, and
 answers each block in the order it asked.  A very frequent word or pair is one entry of each block,
 so no key can overload a task.  For EM the held-out tokens are summed in cells of (context bucket,
-bigram ratio, unigram ratio) on a logarithmic grid, the number of which has a fixed bound.
+bigram ratio, unigram ratio) on a logarithmic grid from 1 down to below 1 / N; the number of cells
+grows with the square of the logarithm of N.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import common as C
 
@@ -30,18 +32,29 @@ from . import common as C
 PARTS, TEST_PART, DELETED_PART = 7, 2, 3
 #: Text bytes of a block; keys that a counting task should hold at a time.
 BLOCK_BYTES, BUCKET_KEYS = 8 << 20, 1_000_000
-#: Context buckets: none, then powers of two.  Cells to an octave of a ratio, and octaves covered.
-CONTEXT_BUCKETS, GRID, OCTAVES = 28, 4, 48
-CELLS = GRID * OCTAVES
+#: Context buckets: none, then one for each power of two of a 64-bit count.  Cells to an octave of a ratio.
+CONTEXT_BUCKETS, GRID = 65, 4
 
 _START = np.uint64(0x5BD1E9955BD1E994)
 _END = np.uint64(0x27D4EB2F165667C4)
 _U1 = np.uint64(1)
 
-_BLOCKS = "block long, ids binary, vocab binary, spans binary, tokens binary"
+_BLOCKS = "block long, ids binary, parts binary, vocab binary, spans binary, tokens binary"
 _ANSWERS = "block long, bucket int, counts binary, types long, tokens long, deleted long, kept_types long"
 
 
+def _frozen(column: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([column], ["ids"])
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _thawed(data: bytes) -> pa.Array:
+    return C.only_chunk(pa.ipc.open_stream(data).read_all(), "ids")
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, seq = TaskContext.get().partitionId(), 0
     for chunk in C.gather_batches(batches, "text", BLOCK_BYTES):
@@ -57,19 +70,18 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         vocab, ids = vocab[order], rank[ids]
-        id_col = C.only_chunk(chunk, "doc_id")
-        null = id_col.is_null().to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_pylist(
             [
                 {
                     "block": part << 32 | seq,
-                    "ids": C.pack(id_col.fill_null(0).to_numpy(zero_copy_only=False), null, C.only_chunk(chunk, "part").to_numpy(zero_copy_only=False).astype(np.int8)),
+                    "ids": _frozen(C.only_chunk(chunk, "doc_id")),
+                    "parts": C.pack(C.only_chunk(chunk, "part").to_numpy(zero_copy_only=False).astype(np.int8)),
                     "vocab": vocab.tobytes(),
                     "spans": C.pack(n.astype(np.int64)),
                     "tokens": C.pack(C.planes(ids)),
                 }
             ],
-            schema=pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vocab", pa.binary()), ("spans", pa.binary()), ("tokens", pa.binary())]),
+            schema=pa.schema([("block", pa.int64()), *((x, pa.binary()) for x in ("ids", "parts", "vocab", "spans", "tokens"))]),
         )
         seq += 1
 
@@ -78,7 +90,8 @@ class _Block:
     """A decoded block: every token with its context, and the distinct keys in ascending order."""
 
     def __init__(self, row: dict):
-        self.ids, self.null, self.part = C.unpack(row["ids"], np.int64, bool, np.int8)
+        self.ids = row["ids"]
+        (self.part,) = C.unpack(row["parts"], np.int8)
         vocab = np.frombuffer(row["vocab"], np.uint64)
         (self.spans,) = C.unpack(row["spans"], np.int64)
         ids = C.unplanes(C.unpack(row["tokens"], np.uint8)[0], np.uint32)
@@ -159,16 +172,17 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["block", "bucket", "counts", "types", "tokens", "deleted", "kept_types"])
 
 
-def _looked_up(left: pd.DataFrame, right: pd.DataFrame):
-    b = _Block(left.iloc[0].to_dict())
-    got = [C.unpack(x, np.uint8, np.uint8) for x in right.sort_values("bucket")["counts"]]
+def _looked_up(left: pa.Table, right: pa.Table):
+    """A block's row with the answers to it, as the block and its keys' counts."""
+    b = _Block(left.to_pylist()[0])
+    got = [C.unpack(x, np.uint8, np.uint8) for x in right.sort_by("bucket").column("counts").to_pylist()]
     full, deleted = (np.concatenate([C.unplanes(x[i], np.int64) for x in got])[b.place] for i in (0, 1))
     return b, full, deleted
 
 
 def _bucket(context_count: np.ndarray) -> np.ndarray:
     """0 for an unseen context, else 1 + floor(log2 of its count)."""
-    return np.minimum(np.where(context_count > 0, 1 + np.floor(np.log2(np.maximum(context_count, 1))), 0), CONTEXT_BUCKETS - 1).astype(np.int64)
+    return np.where(context_count > 0, 1 + np.floor(np.log2(np.maximum(context_count, 1))), 0).astype(np.int64)
 
 
 def _parts(b: _Block, counts: np.ndarray, of: np.ndarray, total: int):
@@ -179,37 +193,51 @@ def _parts(b: _Block, counts: np.ndarray, of: np.ndarray, total: int):
     return _bucket(c_context), c_pair / np.maximum(c_context, 1), c_word / max(total, 1)
 
 
-def _cells_of(total: int, types: int):
-    floor = 1.0 / (types + 1)
+def grid_cells(total: int) -> int:
+    """Cells along one ratio: 0 for nothing, then from 1 down to below 1 / total."""
+    return GRID * (max(1, total).bit_length() + 1) + 1
+
+
+def grid_step(x: np.ndarray, cells: int) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        z = cells - 1 + np.floor(np.log2(x) * GRID)
+    return np.where(x > 0, np.clip(z, 1, cells - 1), 0).astype(np.int64)
+
 
-    def step(x: np.ndarray) -> np.ndarray:  # 0: nothing; else the cell of log2(x / floor)
-        with np.errstate(divide="ignore"):
-            z = np.floor(np.log2(x / floor) * GRID + CELLS // 2)
-        return np.where(x > 0, np.clip(z, 1, CELLS - 1), 0).astype(np.int64)
+def grid_value(z: np.ndarray, cells: int) -> np.ndarray:
+    """The middle of a cell; the last one holds ratios of 1."""
+    return np.where(z > 0, 2.0 ** (np.minimum(z + 0.5 - (cells - 1), 0) / GRID), 0.0)
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"cell": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
+
+def _cells_of(total: int):
+    cells = grid_cells(total)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"cell": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         b, full, deleted = _looked_up(left, right)
         of = np.flatnonzero((b.part == DELETED_PART)[b.doc])
         k, two, one = _parts(b, full - deleted, of, total)
-        cells, n = np.unique((k * CELLS + step(two)) * CELLS + step(one), return_counts=True)
-        return pd.DataFrame({"cell": cells.astype(np.int64), "n": n.astype(np.int64)})
+        found, n = np.unique((k * cells + grid_step(two, cells)) * cells + grid_step(one, cells), return_counts=True)
+        return pa.table({"cell": found.astype(np.int64), "n": n.astype(np.int64)})
 
     return run
 
 
-def fit_weights(cells: np.ndarray, n: np.ndarray, types: int, rounds: int = 200) -> np.ndarray:
+def fit_weights(found: np.ndarray, n: np.ndarray, types: int, total: int, rounds: int = 200) -> np.ndarray:
     """Mixture weights (bucket x [uniform, unigram, bigram]) by expectation-maximisation.
 
     Buckets without held-out tokens keep even weights; an unseen context has no bigram estimate, so
     its bucket splits the weight between the other two.  A small prior keeps every weight above 0.
     """
-    floor = 1.0 / (types + 1)
-    k, rest = np.divmod(cells, CELLS * CELLS)
-    two, one = np.divmod(rest, CELLS)
-    value = lambda z: np.where(z > 0, floor * 2.0 ** ((z + 0.5 - CELLS // 2) / GRID), 0.0)
-    f = np.stack([np.full(len(cells), floor), value(one), value(two)], 1)
+    cells = grid_cells(total)
+    k, rest = np.divmod(found, cells * cells)
+    two, one = np.divmod(rest, cells)
+    return mixture_weights(k, np.stack([np.full(len(found), 1.0 / (types + 1)), grid_value(one, cells), grid_value(two, cells)], 1), n, rounds)
+
+
+def mixture_weights(k: np.ndarray, f: np.ndarray, n: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """The weights under which ``n`` tokens each of bucket ``k`` with estimates ``f`` are likeliest."""
     weights = np.full((CONTEXT_BUCKETS, 3), 1 / 3)
     weights[0] = (0.5, 0.5, 0)
     allowed = weights > 0
@@ -224,30 +252,29 @@ def fit_weights(cells: np.ndarray, n: np.ndarray, types: int, rounds: int = 200)
     return weights
 
 
-def _score(weights: np.ndarray, total: int, types: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        if left.empty or right.empty:
-            return pd.DataFrame({x: [] for x in names})
+def _score(weights: np.ndarray, total: int, types: int, kind: pa.DataType):
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kinds = [kind, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], k) for k in kinds], names=names)
         b, full, _ = _looked_up(left, right)
         every = np.arange(len(b.word))
         k, two, one = _parts(b, full, every, total)
         p = weights[k, 2] * two + weights[k, 1] * one + weights[k, 0] / (types + 1)
         known = full[b.word]
-        docs = len(b.ids)
+        docs = len(b.spans)
         per_doc = lambda x: np.bincount(b.doc, x, docs)
-        return pd.DataFrame(
-            {
-                "doc_id": pd.arrays.IntegerArray(b.ids.copy(), b.null.copy()),
-                "held_out": b.part == TEST_PART,
-                "n_tokens": b.spans + 1,
-                "n_known": per_doc((known > 0).astype(float)).astype(np.int64),
-                "train_tokens": np.full(docs, total, np.int64),
-                "base_score": per_doc(np.log10((known + 1) / (total + types + 1))),
-                "score": per_doc(np.log10(p)),
-            },
-            columns=names,
-        )
+        columns = [
+            b.part == TEST_PART,
+            b.spans + 1,
+            per_doc((known > 0).astype(float)).astype(np.int64),
+            np.full(docs, total, np.int64),
+            per_doc(np.log10((known + 1) / (total + types + 1))),
+            per_doc(np.log10(p)),
+        ]
+        return pa.table([_thawed(b.ids).cast(kind), *(pa.array(x, k) for x, k in zip(columns, kinds[1:]))], names=names)
 
     return run
 
@@ -256,11 +283,12 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Log10 probability of each text under the corpus's own deleted-interpolation bigram model.
 
     Texts whose crc32(id) mod 7 is 2 are scored but not learnt from.  A null or empty text is one
-    end token; a null id belongs to a training part and stays null; repeated rows count and are
-    scored one by one; an empty table gives no rows.  Other columns are not read.
+    end token; a very long text is a block of its own; a null id belongs to a training part and
+    stays null; ids keep their type; repeated rows count and are scored one by one; an empty table
+    gives no rows.  Other columns, whatever their names, are not read.  Scores do not depend on any
+    order, so ties need no rule.
     """
-    ident = F.col(id_col).cast("long")
-    rows = docs.select(ident.alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), C.crc_mod(F.col(id_col), PARTS).cast("int").alias("part"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), C.crc_mod(F.col(id_col), PARTS).cast("int").alias("part"))
     blocks = C.to_table(rows.mapInArrow(_encode, _BLOCKS), "lm-blocks")
     size = blocks.agg(F.sum(F.length("vocab")), F.sum(F.length("tokens")), F.count("*")).first()
     # distinct keys of a block: its words, and at most as many pairs as tokens
@@ -271,6 +299,9 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     types, total, deleted, kept_types = map(int, sums)
     counts = answers.where("block >= 0").select("block", "bucket", "counts")
     pair = blocks.groupBy("block").cogroup(counts.groupBy("block"))
-    cells = pair.applyInPandas(_cells_of(total - deleted, kept_types), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    weights = fit_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(float), kept_types)
-    return pair.applyInPandas(_score(weights, total, types), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    with C.tidy(docs.sparkSession):
+        cells = pair.applyInArrow(_cells_of(total - deleted), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    weights = fit_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(float), kept_types, total - deleted)
+    field = rows.select("doc_id").schema
+    kind = to_arrow_schema(field).field(0).type
+    return pair.applyInArrow(_score(weights, total, types, kind), f"doc_id {field[0].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -65,9 +65,60 @@ def test_lm_base_scores_against_brute_force(docs, nothing):
     assert lm_scoring.score_corpus(nothing).count() == 0
 
 
+def test_lm_scores_against_brute_force(spark, monkeypatch):
+    """Scores from the fitted weights, and the weights against EM over single tokens without a grid."""
+    draw, fitted = random.Random(4), []
+    fit = lm_scoring.fit_weights
+    monkeypatch.setattr(lm_scoring, "fit_weights", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    data = [(f"d{i}", " ".join(f"w{min(draw.randrange(1, 60), draw.randrange(1, 60))}" for _ in range(draw.randrange(0, 60)))) for i in range(300)]
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_corpus(spark.createDataFrame(data, "doc_id string, text string").repartition(4)).collect()}
+
+    def model(of):
+        one, two, ctx = Counter(), Counter(), Counter()
+        for i, t in data:
+            if part(i, 7) in of:
+                w = ["<s>", *t.split(), "</s>"]
+                one.update(w[1:]), two.update(zip(w, w[1:])), ctx.update(w[:-1])
+        return one, two, ctx, sum(one.values()), len(one)
+
+    def estimates(t, m):
+        one, two, ctx, n, v = m
+        w = ["<s>", *t.split(), "</s>"]
+        for a, b in zip(w, w[1:]):
+            # a context's count is that of its word or, at the start, of texts
+            c = ctx[a] if a == "<s>" else one[a]
+            yield (c.bit_length() if c else 0), (1 / (v + 1), one[b] / n, two[a, b] / c if c else 0.0)
+
+    kept = model({-1, 0, 1, 4, 5, 6})
+    tokens_ = [x for i, t in data if part(i, 7) == 3 for x in estimates(t, kept)]
+    k, f = np.array([x[0] for x in tokens_]), np.array([x[1] for x in tokens_])
+    exact = lm_scoring.mixture_weights(k, f, np.ones(len(k)))
+    weights = fitted[0]
+    often = np.bincount(k, minlength=65) > 100
+    assert np.abs(weights - exact)[often].max() < 0.05
+    full = model({-1, 0, 1, 3, 4, 5, 6})
+    for i, t in data:
+        assert abs(got[i] - sum(log10(weights[b] @ np.array(e)) for b, e in estimates(t, full))) < 1e-6
+
+
+@pytest.mark.parametrize("types", [10**4, 10**10])
+def test_lm_grid_holds_at_any_size(types):
+    total = 50 * types
+    cells = lm_scoring.grid_cells(total)
+    ratios = np.array([1.0, 0.5, 1e-3, 1 / total])
+    back = lm_scoring.grid_value(lm_scoring.grid_step(ratios, cells), cells)
+    assert (np.abs(np.log2(back / ratios)) <= 0.5 / lm_scoring.GRID + 1e-9).all()
+    two = lm_scoring.grid_step(np.array([0.5, 0.0]), cells)
+    one = lm_scoring.grid_step(np.array([1e-3, 1e-3]), cells)
+    found, n = (3 * cells + two) * cells + one, np.array([60.0, 40.0])
+    k, f = np.full(2, 3), np.array([[1 / (types + 1), 1e-3, 0.5], [1 / (types + 1), 1e-3, 0.0]])
+    assert np.abs(lm_scoring.fit_weights(found, n, types, total) - lm_scoring.mixture_weights(k, f, n)).max() < 0.01
+
+
 def test_lm_distribution_sums_to_one():
-    cells = np.array([((3 * lm_scoring.CELLS) + 100) * lm_scoring.CELLS + 100, (2 * lm_scoring.CELLS) * lm_scoring.CELLS + 100])
-    weights = lm_scoring.fit_weights(cells, np.array([50.0, 30.0]), 1000)
+    cells = lm_scoring.grid_cells(5000)
+    found = np.array([(3 * cells + 30) * cells + 30, (2 * cells) * cells + 30])
+    weights = lm_scoring.fit_weights(found, np.array([50.0, 30.0]), 1000, 5000)
     assert np.allclose(weights.sum(1), 1) and (weights >= 0).all() and weights[0, 2] == 0
     assert weights[3, 2] > 0.3 > weights[2, 2]  # where bigrams were never seen they get no say
 
@@ -209,10 +260,61 @@ def test_contamination_finds_copies_and_edits(spark, docs, nothing):
 # ---------------------------------------------------------------- 6
 
 
-@pytest.mark.parametrize("kind", range(5))
+def plain_unfiltered(lines, bpp):
+    """The row filters undone byte by byte."""
+    out = []
+    for kind, *row in lines.tolist():
+        up, new = out[-1] if out else [0] * len(row), []
+        for x, value in enumerate(row):
+            a, b, c = (new[x - bpp], up[x], up[x - bpp]) if x >= bpp else (0, up[x], 0)
+            p = a + b - c
+            nearest = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            new.append((value + (0, a, b, (a + b) // 2, nearest)[kind]) % 256)
+        out.append(new)
+    return out
+
+
+def test_pictures_of_several_heights_and_filters_are_undone_together():
+    draw = np.random.default_rng(8)
+    files, want = [], []
+    for height in (1, 40, 3, 7, 1):
+        rows = draw.integers(0, 256, (height, 192), dtype=np.uint8)
+        kinds = draw.integers(0, 5, height).astype(np.uint8)
+        files.append(media_png._file(kinds, rows, 3))
+        want.append(plain_unfiltered(np.concatenate([kinds[:, None], rows], axis=1), 3))
+    for got, rows in zip(media_png.decode_pngs(files), want):
+        assert got.reshape(len(rows), 192).tolist() == rows
+
+
+def test_texts_are_stored_with_more_than_one_filter(spark):
+    texts = [words(k, 400) for k in range(20)] + ["ab" * 5000, " " * 900]
+    stored = media_png.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    lines = [media_png.opened(r["media"])[0] for r in stored.collect()]
+    assert len({k for x in lines for k in x[:, 0].tolist()}) >= 4
+    assert all((media_png.decode_png(media_png.encode_png(x)) == x).all() for x in [np.arange(192, dtype=np.uint8).reshape(1, 64, 3)])
+
+
+def test_cosine_hash_against_sums():
+    for shape in ((3, 64, 3), (90, 64, 3)):
+        samples = np.random.default_rng(shape[0]).integers(0, 256, shape, dtype=np.uint8)
+        grey = samples.astype(float).mean(axis=2)
+
+        def cells(n):
+            if n < 32:
+                return [[i * n // 32] for i in range(32)]
+            return [range(i * n // 32, (i + 1) * n // 32) for i in range(32)]
+
+        small = [[sum(grey[y][x] for y in ys for x in xs) / (len(ys) * len(xs)) for xs in cells(shape[1])] for ys in cells(shape[0])]
+        low = [sum(small[y][x] * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+        middle = np.median(np.round(low[1:], 6))
+        bits = "".join("1" if round(z, 6) > middle else "0" for z in low)
+        assert media_png.cosine_hash(samples) == f"{int(bits, 2):016x}"
+
+
+@pytest.mark.parametrize("kind", [*range(5), None])
 @pytest.mark.parametrize("shape", [(1, 1, 1), (3, 64, 3), (7, 5, 4), (2, 9, 2)])
 def test_png_round_trip(kind, shape):
-    samples = np.random.default_rng(kind).integers(0, 256, shape, dtype=np.uint8)
+    samples = np.random.default_rng(3).integers(0, 256, shape, dtype=np.uint8)
     data = media_png.encode_png(samples, kind)
     assert (media_png.decode_png(data) == samples).all()
     for at in (20, len(data) // 2, len(data) - 6):
@@ -355,6 +457,34 @@ def test_jaccard_join_against_brute_force(spark, docs, nothing):
     assert jaccard_join.jaccard_components(nothing).count() == 0
 
 
+@pytest.mark.parametrize("edits", [(2, 3), (0, 2)])  # copies near the limit, and one main component
+def test_jaccard_join_of_a_large_group_in_blocks(spark, monkeypatch, edits):
+    monkeypatch.setattr(jaccard_join, "BLOCK_WEIGHT", 40 * (jaccard_join.SET_WEIGHT + 96))
+    draw, base, data = random.Random(17), words("group", 100, 10**6).split(), []
+    for k in range(400):
+        copy = list(base)
+        for _ in range(draw.randint(*edits)):
+            copy[draw.randrange(len(copy))] = f"e{draw.randrange(10**6)}"
+        data.append((k, " ".join(copy)))
+    data += [(1000 + k, " ".join(base[:60]) + " " + words(k, 35 + k % 9, 10**6)) for k in range(60)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(data, "doc_id long, text string").repartition(5))
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got.collect()) == brute_components(data)
+
+
+def test_one_of_each_with_clashing_names(spark):
+    text = words(3, 30)
+    frame = spark.createDataFrame([(1, text, 7, "x", 8, 9), (2, text, 7, "y", 8, 9), (3, None, 7, "z", 8, 9)], "_id long, text string, `_hash` int, `_text_hash` string, id int, `my-col` int")
+    out = jaccard_join.one_of_each(frame, id_col="_id")
+    assert out.columns == frame.columns and sorted((r["_id"], r["_text_hash"]) for r in out.collect()) == [(1, "x"), (3, "z")]
+
+
+def test_merging_labels_after_further_links(spark):
+    pairs = lambda x: spark.createDataFrame(x, "a long, b long")
+    labels = components.components(pairs([(1, 2), (3, 4), (5, 6), (8, 9)]))
+    got = {r["node"]: r["label"] for r in components.merged(labels, pairs([(4, 5), (7, 8)])).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 3, 7: 7, 8: 7, 9: 7}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
