@@ -1,4 +1,9 @@
-"""PNG pictures in binary columns: a lossless writer, a checking reader and cosine-transform hashes."""
+"""PNG pictures in binary columns: a lossless writer, a checking reader and cosine-transform hashes.
+
+The writer gives each row the filter with the least sum of absolute differences.  The reader undoes
+filters in numpy along diagonals: a pixel depends on those to its left, above and above left, so all
+pixels of one diagonal, in all pictures of a batch, are restored together.
+"""
 
 from __future__ import annotations
 
@@ -28,67 +33,77 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(body, zlib.crc32(kind)))
 
 
-def _predict(kind: int, left: np.ndarray, up: np.ndarray, corner: np.ndarray) -> np.ndarray:
-    """What filter ``kind`` expects of a pixel from its neighbours (int16 arrays)."""
-    if kind == 3:
-        return (left + up) >> 1
+def _paeth(left: np.ndarray, up: np.ndarray, corner: np.ndarray) -> np.ndarray:
+    """The neighbour nearest to left + up - corner; of equals the first in this order (int16 arrays)."""
     a, b, c = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
     return np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
 
 
-def _filtered(rows: np.ndarray, bpp: int, kind: int) -> np.ndarray:
-    wide = np.zeros((rows.shape[0] + 1, rows.shape[1] + bpp), np.int16)
+def filtered(rows: np.ndarray, first: np.ndarray, bpp: int, kind: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Filter kinds and filtered rows of stacked pictures; ``first`` marks a picture's first row.
+
+    Without a ``kind``, each row has that of the least sum of absolute differences, of equals the
+    lowest.
+    """
+    wide = np.zeros((len(rows) + 1, rows.shape[1] + bpp), np.int16)
     wide[1:, bpp:] = rows
-    left, up, corner = wide[1:, :-bpp], wide[:-1, bpp:], wide[:-1, :-bpp]
-    expected = (0, left, up)[kind] if kind < 3 else _predict(kind, left, up, corner)
-    return (rows - expected).astype(np.uint8)
+    left, up, corner = wide[1:, :-bpp], np.where(first[:, None], 0, wide[:-1, bpp:]), np.where(first[:, None], 0, wide[:-1, :-bpp])
+    expected = (np.zeros_like(left), left, up, (left + up) >> 1, _paeth(left, up, corner))
+    if kind is not None:
+        return np.full(len(rows), kind, np.uint8), (rows - expected[kind]).astype(np.uint8)
+    tried = np.stack([(rows - e).astype(np.uint8) for e in expected])
+    kinds = np.abs(tried.view(np.int8).astype(np.int16)).sum(axis=2, dtype=np.int64).argmin(axis=0)
+    return kinds.astype(np.uint8), tried[kinds, np.arange(len(rows))]
+
+
+def unfiltered(kinds: np.ndarray, rows: np.ndarray, heights: np.ndarray, bpp: int) -> np.ndarray:
+    """Undoes the row filters of stacked pictures of equal width and the given heights."""
+    if len(kinds) and kinds.max() > 4:
+        raise ValueError(f"unknown row filter {kinds.max()}")
+    total, pixels = len(rows), rows.shape[1] // bpp
+    y = np.arange(total) - np.repeat(np.cumsum(heights) - heights, heights)
+    order = np.argsort(y, kind="stable")  # rows of like height together, so a diagonal is a range
+    place = np.empty(total, np.int64)
+    place[order] = np.arange(total)
+    y = y[order]
+    above = np.where(y > 0, place[order - 1], total)  # of a first row, the row of zeros at the end
+    line = rows[order].reshape(total * pixels, bpp).astype(np.int16)
+    kind = kinds[order][:, None]
+    wide = pixels + 1  # a pixel of zeros ahead of each row
+    out = np.zeros(((total + 1) * wide, bpp), np.int16)
+    tallest = int(heights.max()) if len(heights) else 0
+    bounds = np.searchsorted(y, np.arange(tallest + 1))
+    for d in range(tallest + pixels - 1):
+        lo, hi = bounds[max(0, d - pixels + 1)], bounds[min(tallest, d + 1)]
+        if lo == hi:
+            continue
+        r, x, k = np.arange(lo, hi), d - y[lo:hi], kind[lo:hi]
+        to, over = r * wide + x, above[lo:hi] * wide + x
+        left, up, corner = out[to], out[over + 1], out[over]
+        expected = np.where(k == 1, left, np.where(k == 2, up, np.where(k == 3, (left + up) >> 1, np.where(k == 4, _paeth(left, up, corner), 0))))
+        out[to + 1] = (line[r * pixels + x] + expected) & 255
+    return out.reshape(total + 1, wide * bpp)[place, bpp:].astype(np.uint8)
 
 
-def encode_png(samples: np.ndarray, filter_kind: int = 0, level: int = 4) -> bytes:
-    """A picture of (height, width, channels) 8-bit samples; every row has the same filter."""
-    height, width, channels = samples.shape
-    rows = samples.reshape(height, width * channels)
-    body = np.empty((height, rows.shape[1] + 1), np.uint8)
-    body[:, 0] = filter_kind
-    body[:, 1:] = rows if filter_kind == 0 else _filtered(rows, channels, filter_kind)
-    data = zlib.compress(body.tobytes(), level)
+def _file(kinds: np.ndarray, rows: np.ndarray, channels: int, level: int = 4) -> bytes:
+    """The bytes of a picture from its filtered rows."""
+    data = zlib.compress(np.concatenate([kinds[:, None], rows], axis=1).tobytes(), level)
     colour = next(k for k, n in CHANNELS.items() if n == channels)
-    parts = [SIGNATURE, _chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0))]
+    parts = [SIGNATURE, _chunk(b"IHDR", struct.pack(">IIBBBBB", rows.shape[1] // channels, len(rows), 8, colour, 0, 0, 0))]
     parts += [_chunk(b"IDAT", data[i : i + CHUNK]) for i in range(0, len(data), CHUNK)]
     return b"".join([*parts, _chunk(b"IEND", b"")])
 
 
-def _unfiltered(kinds: np.ndarray, rows: np.ndarray, bpp: int) -> np.ndarray:
-    """Undoes the row filters: a running sum along a row for Sub and down a run of rows for Up."""
-    out = np.zeros((rows.shape[0] + 1, rows.shape[1]), np.uint8)
-    cuts = np.flatnonzero(np.diff(kinds)) + 1
-    for start, stop in zip([0, *cuts], [*cuts, len(kinds)]):
-        if start == stop:
-            continue
-        kind, part = kinds[start], rows[start:stop]
-        if kind == 0:
-            out[start + 1 : stop + 1] = part
-        elif kind == 1:
-            out[start + 1 : stop + 1] = np.cumsum(part.reshape(len(part), -1, bpp), axis=1, dtype=np.uint8).reshape(part.shape)
-        elif kind == 2:
-            out[start + 1 : stop + 1] = np.cumsum(part, axis=0, dtype=np.uint8) + out[start]
-        elif kind in (3, 4):
-            for y in range(start, stop):
-                up = out[y].reshape(-1, bpp).astype(np.int16)
-                line = rows[y].reshape(-1, bpp).astype(np.int16)
-                new = out[y + 1].reshape(-1, bpp)
-                left = corner = np.zeros(bpp, np.int16)
-                for x in range(len(line)):
-                    left = (line[x] + _predict(kind, left, up[x], corner)) & 255
-                    new[x], corner = left, up[x]
-        else:
-            raise ValueError(f"unknown row filter {kind}")
-    return out[1:]
+def encode_png(samples: np.ndarray, filter_kind: int | None = None) -> bytes:
+    """A picture of (height, width, channels) 8-bit samples; each row has its best filter, or the given one."""
+    height, width, channels = samples.shape
+    kinds, rows = filtered(samples.reshape(height, width * channels), np.arange(height) == 0, channels, filter_kind)
+    return _file(kinds, rows, channels)
 
 
-def decode_png(data: bytes) -> np.ndarray:
-    """Samples (height, width, channels) of a non-interlaced 8-bit picture; every chunk's checksum
-    is tested, and damage raises ValueError."""
+def opened(data: bytes) -> tuple[np.ndarray, int]:
+    """Filtered lines, each behind its filter's number, and samples to a pixel of a non-interlaced
+    8-bit picture; every chunk's checksum is tested, and damage raises ValueError."""
     if data[:8] != SIGNATURE:
         raise ValueError("no PNG signature")
     at, head, body, ended = 8, None, [], False
@@ -106,8 +121,26 @@ def decode_png(data: bytes) -> np.ndarray:
     if head is None or not ended or head[2] != 8 or head[3] not in CHANNELS or head[6]:
         raise ValueError("unfinished or unsupported PNG")
     width, height, channels = head[0], head[1], CHANNELS[head[3]]
-    lines = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, width * channels + 1)
-    return _unfiltered(lines[:, 0], lines[:, 1:], channels).reshape(height, width, channels)
+    return np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, width * channels + 1), channels
+
+
+def decode_pngs(files: list[bytes]) -> list[np.ndarray]:
+    """Samples (height, width, channels) of each picture; those of one width and kind are undone together."""
+    found = [opened(x) for x in files]
+    out: list[np.ndarray] = [np.zeros((0, 0, 0), np.uint8)] * len(files)
+    for width, channels in {(x.shape[1] - 1, c) for x, c in found}:
+        of = [i for i, (x, c) in enumerate(found) if (x.shape[1] - 1, c) == (width, channels)]
+        heights = np.array([len(found[i][0]) for i in of])
+        lines = np.concatenate([found[i][0] for i in of])
+        rows = unfiltered(lines[:, 0], lines[:, 1:], heights, channels)
+        for i, part in zip(of, np.split(rows, np.cumsum(heights)[:-1])):
+            out[i] = part.reshape(len(part), width // channels, channels)
+    return out
+
+
+def decode_png(data: bytes) -> np.ndarray:
+    """Samples (height, width, channels) of one picture."""
+    return decode_pngs([data])[0]
 
 
 def _cosines() -> np.ndarray:
@@ -136,39 +169,43 @@ def cosine_hash(samples: np.ndarray) -> str:
 
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column(1)
-        data, offsets = C.text_buffers(column)
+        data, offsets = C.text_buffers(batch.column(1))
         for start, stop in C.pieces(offsets):
-            sizes, media = [], []
-            for i in range(start, stop):
-                raw = data[offsets[i] : offsets[i + 1]]
-                rows = max(1, -(-len(raw) // ROW_BYTES))
-                padded = np.full(rows * ROW_BYTES, 32, np.uint8)
-                padded[: len(raw)] = raw
-                sizes.append(len(raw))
-                media.append(encode_png(padded.reshape(rows, WIDTH, 3)))
+            sizes = np.diff(offsets[start : stop + 1])
+            heights = np.maximum(1, -(-sizes // ROW_BYTES))
+            last = np.cumsum(heights)
+            samples = np.full(int(last[-1]) * ROW_BYTES, 32, np.uint8)
+            for i, (n, end, height) in enumerate(zip(sizes, last, heights)):
+                at = (end - height) * ROW_BYTES
+                samples[at : at + n] = data[offsets[start + i] : offsets[start + i + 1]]
+            first = np.zeros(int(last[-1]), bool)
+            first[last - heights] = True
+            kinds, rows = filtered(samples.reshape(-1, ROW_BYTES), first, 3)
+            media = [_file(kinds[b - h : b], rows[b - h : b], 3) for b, h in zip(last, heights)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     for batch in batches:
-        out = []
-        for cell in batch.column(2):
-            media = cell.as_py()
-            samples = decode_png(media)
-            payload = samples.tobytes()
-            out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), cosine_hash(samples)))
-        names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        columns = zip(*out) if out else [[]] * 6
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, k) for x, k in zip(columns, kinds))], ["doc_id", "n_bytes", *names])
+        sizes = np.concatenate([[0], np.cumsum(batch.column(1).to_numpy())])  # of the texts, not of the files
+        for start, stop in C.pieces(sizes):
+            files = [x.as_py() for x in batch.column(2).slice(start, stop - start)]
+            out = []
+            for media, samples in zip(files, decode_pngs(files)):
+                payload = samples.tobytes()
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), cosine_hash(samples)))
+            own = [batch.column(i).slice(start, stop - start) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array(x, k) for x, k in zip(zip(*out), kinds))], ["doc_id", "n_bytes", *names])
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text as a picture: (doc_id, n_bytes, media).
 
     The UTF-8 bytes, filled with spaces to a positive multiple of 192, are the samples.  Null counts
-    as empty (one row of spaces); repeated rows and null ids stay; other columns are not read.
+    as empty (one row of spaces); a very long text is one tall picture; repeated rows and null ids
+    stay; an empty table gives no rows; other columns, whatever their names, are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
