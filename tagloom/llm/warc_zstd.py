@@ -3,6 +3,10 @@
 Each archive starts with a skippable frame that holds the dictionary, built from the records that
 follow; each record is a frame of its own, compressed with it.  Pages with equal payloads are stored
 once: the one with the largest id as a response, the others as revisits that refer to it.
+
+Archives go through Spark's own text writer, one row to a file, and come back through its binary
+reader, so they lie wherever Spark can write and a lost task leaves nothing behind.  The line end
+that the text writer adds is an empty skippable frame, which Zstandard readers pass over.
 """
 
 from __future__ import annotations
@@ -13,21 +17,20 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
 
-#: The skippable frame that carries a dictionary, and the WARC version line.
-DICTIONARY_MAGIC, VERSION = 0x184D2A5D, b"WARC/1.1"
+#: The skippable frame that carries a dictionary, all such frames (the last four bits
+#: are free), an empty one as text, and the WARC version line.
+DICTIONARY_MAGIC, SKIPPABLE_MAGIC, EMPTY_FRAME, VERSION = 0x184D2A5D, 0x184D2A50, "P*M\x18\0\0\0\0", b"WARC/1.1"
 #: Payload bytes of an archive, size of a dictionary, and from which size equal payloads are revisits.
 ARCHIVE_BYTES, DICTIONARY_BYTES, REVISIT_BYTES = 16 << 20, 64 << 10, 1000
 
 _READ = 1 << 14
 
-_MANIFEST = "path string, records long, bytes long"
 _FIELDS = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string, target_uri string, stored_bytes long"
 
 
@@ -80,6 +83,9 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
     known, at = data[8 : 8 + size], 8 + size
     opener = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(known)) if known else zstandard.ZstdDecompressor()
     while at < len(data):
+        if len(data) - at >= 8 and struct.unpack("<I", data[at : at + 4])[0] & 0xFFFFFFF0 == SKIPPABLE_MAGIC:
+            at += 8 + struct.unpack("<I", data[at + 4 : at + 8])[0]
+            continue
         step, got, start = opener.decompressobj(), [], at
         while not step.eof:  # a frame does not say where it ends
             if at >= len(data):
@@ -96,63 +102,58 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
         yield fields, body[: int(fields["Content-Length"])], at - start
 
 
-def _files(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
-
+def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def closed(records: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([write_archive(records)], pa.binary())], ["archive"])
 
-def _writer(folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, base = _files(folder)
-        files.create_dir(base, recursive=True)
-
-        def close(records: list[bytes]) -> pa.RecordBatch:
-            # a name of its own for each attempt: the manifest lists those of the attempt that counts
-            name = f"{base}/{uuid.uuid4().hex}.warc.zst"
-            data = write_archive(records)
-            with files.open_output_stream(name) as f:
-                f.write(data)
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(records)], pa.int64()), pa.array([len(data)], pa.int64())], ["path", "records", "bytes"])
+    held, size = [], 0
+    for batch in batches:
+        for page, url, html, refers in zip(*(batch.column(i) for i in range(4))):
+            body = (html.as_py() or "").encode()
+            if held and size + len(body) > ARCHIVE_BYTES:
+                yield closed(held)
+                held, size = [], 0
+            held.append(_record(page.as_py(), url.as_py(), body, refers.as_py()))
+            size += len(body)
+    if held:
+        yield closed(held)
 
-        held, size = [], 0
-        for batch in batches:
-            for page, url, html, refers in zip(*(batch.column(i) for i in range(4))):
-                body = (html.as_py() or "").encode()
-                if held and size + len(body) > ARCHIVE_BYTES:
-                    yield close(held)
-                    held, size = [], 0
-                held.append(_record(page.as_py(), url.as_py(), body, refers.as_py()))
-                size += len(body)
-        if held:
-            yield close(held)
 
-    return run
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length, content) of the archives in a folder."""
+    return spark.read.format("binaryFile").load(folder).select("path", "length", "content")
 
 
 def write_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Writes a record for each page into archives in ``folder``; returns their (path, records, bytes).
+    """Writes a record for each page into archives in ``folder``, a path of any file system that
+    Spark writes to; returns them as ``archives`` does.
 
     Null html counts as empty.  Payloads of under 1000 bytes are always responses.  Of equal larger
     payloads the one with the largest id is the response; a null id is the smallest, and of several
-    rows with that id each is a response.  An empty table writes nothing.
+    rows with that id (ties, repeated rows) each is a response.  A very long page is one record.  An
+    empty table writes no archive; other columns, whatever their names, are not written.
     """
+    spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.when(F.octet_length("html") >= REVISIT_BYTES, F.sha2(F.col("html").cast("binary"), 256)))
     first = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.max("page").alias("first"), F.count("*").alias("n")).where("n > 1")
     first = C.to_table(first.select(F.col("digest").alias("_digest"), "first"), "warc-first")
+    # small pages have no digest and match nothing: a key of their own keeps them apart
+    rows = rows.withColumn("digest", F.coalesce("digest", F.xxhash64("page", "url").cast("string")))
     joined = rows.join(first, F.col("digest") == F.col("_digest"), "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first")), F.col("first").cast("string"))
-    out = joined.select(F.col("page").cast("string"), "url", "html", refers.alias("refers_to")).mapInArrow(_writer(folder), _MANIFEST)
-    return C.to_table(out, "warc-manifest")
+    out = joined.select(F.col("page").cast("string"), "url", "html", refers.alias("refers_to")).mapInArrow(_archives, "archive binary")
+    with C.tidy(spark):
+        out.select(F.col("archive").cast("string")).write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", 1).text(folder)
+    C.free(first)
+    return archives(spark, folder)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _FIELDS.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
     for batch in batches:
-        for path in batch.column(0).to_pylist():
-            files, name = _files(path)
-            with files.open_input_stream(name) as f:
-                data = f.read()
+        for path, data in zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))):
             rows = []
             for fields, body, used in read_archive(data):
                 kind = fields["WARC-Type"]
@@ -165,8 +166,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
 
 
-def read_pages(manifest: DataFrame, id_type: str = "long") -> DataFrame:
-    """One row for each record of the archives that the manifest lists, checked against its digest."""
-    spread = manifest.select("path").repartition(max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism)))
-    found = spread.mapInArrow(_reader, _FIELDS)
-    return found.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
+def read_pages(found: DataFrame, id_type: str = "long") -> DataFrame:
+    """One row for each record of ``archives``, checked against its digest."""
+    rows = found.where("length > 0").select("path", "content").mapInArrow(_reader, _FIELDS)
+    return rows.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
