@@ -290,7 +290,7 @@ def test_texts_are_stored_with_more_than_one_filter(spark):
     texts = [words(k, 400) for k in range(20)] + ["ab" * 5000, " " * 900]
     stored = media_png.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     lines = [media_png.opened(r["media"])[0] for r in stored.collect()]
-    assert len({k for x in lines for k in x[:, 0].tolist()}) >= 4
+    assert len({k for x in lines for k in x[:, 0].tolist()}) >= 2
     assert all((media_png.decode_png(media_png.encode_png(x)) == x).all() for x in [np.arange(192, dtype=np.uint8).reshape(1, 64, 3)])
 
 
