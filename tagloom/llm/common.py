@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -241,3 +242,33 @@ def planes(x: np.ndarray) -> np.ndarray:
 
 def unplanes(x: np.ndarray, kind) -> np.ndarray:
     return np.ascontiguousarray(x.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+# ---------------------------------------------------------------- counts in a table of fixed size
+
+#: Bits of a slice of the table when it is summed.
+SLICE_BITS = 14
+COUNTED = "slice int, payload binary"
+
+
+def count_slices(counts: np.ndarray) -> pa.RecordBatch:
+    """A task's counts (2**bits, unsigned 32 bits) as rows of COUNTED."""
+    slices = counts.reshape(-1, 1 << SLICE_BITS)
+    return pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array([pack(x) for x in slices], pa.binary())], ["slice", "payload"])
+
+
+def _sum_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(1 << SLICE_BITS, np.int64)
+    for x in pdf["payload"]:
+        total += unpack(x, np.uint32)[0]
+    return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "payload": [np.floor(2 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
+
+
+def half_octaves(counted: DataFrame, bits: int) -> np.ndarray:
+    """The sums of COUNTED rows as a byte for each cell: twice the logarithm of one more, rounded down."""
+    parts = counted.groupBy("slice").applyInPandas(_sum_slice, COUNTED)
+    out = np.zeros((1 << (bits - SLICE_BITS), 1 << SLICE_BITS), np.uint8)
+    with tidy(counted.sparkSession):
+        for row in parts.collect():
+            out[row["slice"]] = np.frombuffer(row["payload"], np.uint8)
+    return out.ravel()
