@@ -2,13 +2,15 @@
 
 Low quality and toxicity are two targets, each with its own two views and its own threshold.
 
-Both views are logistic models.  In each round either view labels the unlabelled documents it is
-surest of, and these join the other view's training rows.  In the end each view is calibrated on
-labelled documents that were set aside, and a logistic model of the two calibrated views scores all
-documents.
-
-Models are fitted on the driver from bounded samples: LABELLED labelled and POOL unlabelled
-documents, those with the least hash of their id.  Scoring reads every text whole.
+Both views are logistic models, fitted first on labelled documents.  In each round either view
+scores all unlabelled documents and labels those that it ranks first and last; these join the other
+view's training rows, each with the weight of how much more than the base rate the giving view knows
+of it.  In the end each view is calibrated on labelled documents that were set aside, and a logistic
+model of the two calibrated views scores all documents.
+
+Models are fitted on the driver from a bounded sample of LABELLED labelled documents, those with the
+least hash of their id, and the pseudo-labels of the rounds.  Candidates for these come from a scan of
+the whole corpus; scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -18,15 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zlib
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
-#: Rows that the models are fitted on, rounds, and pseudo-labels that a view gives in a round.
-LABELLED, POOL, ROUNDS, GIVEN = 5000, 3000, 4, 150
+#: Labelled rows that the models are fitted on, rounds, and pseudo-labels that a view gives in a round.
+LABELLED, ROUNDS, GIVEN = 5000, 3, 150
 #: Hashed words of the text view, hashed values of the metadata view, share of labels set aside.
-WORDS, METADATA, ASIDE = 1 << 16, 512, 0.3
+WORDS, METADATA, ASIDE = 1 << 16, 4096, 0.3
 #: Standard deviations by which a feature's count among fine rows must be off to have a say in the
 #: text view, and rows that must have it; share of fine documents set aside that a threshold may lose.
 SIGNIFICANT, SEEN, LOST = 4.0, 3, 0.015
@@ -58,14 +61,15 @@ def text_view(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             shares = np.bincount(_CLASS[raw], minlength=len(_CLASSES) + 1)[1:] / size
             stats = [_buckets(x) for x in shares] + [_buckets(len(own) / n), min(11, size // n), min(11, int(np.log2(n))), int(len(own) == 0)]
             dense = WORDS + np.arange(_STATS) * 12 + np.array(stats)
-            out.append(np.concatenate([dense, (own >> np.uint64(48)).astype(np.int64)]).astype(np.int32))
+            out.append(np.concatenate([dense, np.unique(own >> np.uint64(48)).astype(np.int64)]).astype(np.int32))
     return out
 
 
 def metadata_view(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    hashed = [zlib.crc32(f"{k}={v}".encode()) % METADATA for k, v in (("source", source), ("lang", lang))]
-    hashed.append(zlib.crc32(f"size={None if n_chars is None else int(np.log2(max(1, n_chars)) * 2)}".encode()) % METADATA)
-    return np.array(hashed, np.int32)
+    """Source, language and size, coarse and fine, and their pairs."""
+    size, fine = (None, None) if n_chars is None else (int(np.log2(max(1, n_chars)) * 2), int(np.log2(max(1, n_chars)) * 8))
+    named = [("source", source), ("lang", lang), ("size", size), ("fine", fine), ("source lang", f"{source} {lang}"), ("source size", f"{source} {size}"), ("lang size", f"{lang} {size}")]
+    return np.array([zlib.crc32(f"{k}={v}".encode()) % METADATA for k, v in named], np.int32)
 
 
 class Sparse:
@@ -85,12 +89,13 @@ class Sparse:
         return np.append(np.bincount(self.col, r[self.row] * self.value, self.width), r.sum())
 
 
-def log_ratios(rows: list[np.ndarray], y: np.ndarray, width: int) -> np.ndarray:
+def log_ratios(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, width: int) -> np.ndarray:
     """Each feature's log odds of a fine row against those of all rows; 0 where chance explains it."""
     col = np.concatenate([np.zeros(0, np.int32), *rows])
-    seen = np.bincount(col, minlength=width).astype(float)
-    fine = np.bincount(col, np.repeat(y, [len(x) for x in rows]), width)
-    base = y.mean()
+    many = [len(x) for x in rows]
+    seen = np.bincount(col, np.repeat(weight, many), width)
+    fine = np.bincount(col, np.repeat(weight * y, many), width)
+    base = (weight * y).sum() / weight.sum()
     off = (np.abs(fine - seen * base) - 0.5) / np.sqrt(np.maximum(1, seen) * base * (1 - base))
     return np.where((off > SIGNIFICANT) & (seen >= SEEN), np.log((fine + 0.5) / (seen - fine + 0.5) * (1 - base) / base), 0.0)
 
@@ -111,11 +116,10 @@ def logistic(x, y: np.ndarray, weight: np.ndarray, start: np.ndarray, steps: int
     return w
 
 
-def _even(y: np.ndarray) -> np.ndarray:
+def _even(y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights under which both classes count the same."""
-    good = max(1, y.sum())
-    bad = max(1, len(y) - y.sum())
-    return np.where(y > 0, len(y) / (2 * good), len(y) / (2 * bad))
+    total, good = weight.sum(), (weight * y).sum()
+    return weight * np.where(y > 0, total / (2 * max(1e-9, good)), total / (2 * max(1e-9, total - good)))
 
 
 class _Columns:
@@ -134,8 +138,10 @@ class _Columns:
 class Model:
     """The views of one target, their calibration and mix, and the target's threshold."""
 
-    def __init__(self, text: np.ndarray, metadata: np.ndarray, platt: list, mix: np.ndarray, threshold: float):
+    def __init__(self, text: np.ndarray, metadata: np.ndarray, platt: list, mix: np.ndarray, threshold: float, given: np.ndarray):
         self.text, self.metadata, self.platt, self.mix, self.threshold = text.astype(np.float32), metadata.astype(np.float32), platt, mix, threshold
+        #: pseudo-labels given by (text, metadata): how many for (bad, good) rows, and their weight in all
+        self.given = given
 
     def score(self, texts: list[np.ndarray], metadata: list[np.ndarray]) -> np.ndarray:
         views = [Sparse(rows, len(w) - 1).dot(w) for rows, w in ((texts, self.text), (metadata, self.metadata))]
@@ -154,58 +160,64 @@ def cut(p: np.ndarray, fine: np.ndarray) -> float:
     return float(at[int(gain.argmax())])
 
 
-def _fit_text(rows: list, y: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
-    scale = log_ratios(rows, y, TEXT)
-    fitted = logistic(Sparse(rows, TEXT, scale), y, _even(y), np.append(np.where(scale, start[:-1] / np.where(scale, scale, 1), 0), start[-1]), steps)
+def _fit_text(rows: list, y: np.ndarray, weight: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    scale = log_ratios(rows, y, weight, TEXT)
+    fitted = logistic(Sparse(rows, TEXT, scale), y, _even(y, weight), np.append(np.where(scale, start[:-1] / np.where(scale, scale, 1), 0), start[-1]), steps)
     return fitted * np.append(scale, 1)
 
 
-def _fit_metadata(rows: list, y: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
-    return logistic(Sparse(rows, METADATA), y, _even(y), start, steps)
-
-
-def co_train(texts: list, metadata: list, y: np.ndarray, pool_texts: list, pool_metadata: list) -> Model | None:
-    """Fits both views of a target, 1 in ``y`` for fine rows; None when only one class is labelled."""
-    if len(set(y.tolist())) < 2:
-        return None
-    # set aside of each class alike, so that a rare one is there to be calibrated on
-    aside = np.zeros(len(y), bool)
-    for k in (0, 1):
-        of = np.flatnonzero(y == k)
-        aside[of] = np.arange(len(of)) % 10 < 10 * ASIDE
-    if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
-        aside = np.zeros(len(y), bool)  # too few labels: the same rows fit and calibrate
-    fit_on, check_on = np.flatnonzero(~aside), np.flatnonzero(aside) if aside.any() else np.arange(len(y))
-    rows = [[v[i] for i in fit_on] for v in (texts, metadata)]
-    pools = (pool_texts, pool_metadata)
-    labels = [list(y[fit_on]), list(y[fit_on])]
-    weights = [np.zeros(TEXT + 1), np.zeros(METADATA + 1)]
-    free = np.ones(len(pool_texts), bool)
-    all_pool = [Sparse(p, len(w) - 1) for p, w in zip(pools, weights)]
-    base = float(y.mean())
-    for step in range(ROUNDS + 1):
+def _fit_metadata(rows: list, y: np.ndarray, weight: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    return logistic(Sparse(rows, METADATA), y, _even(y, weight), start, steps)
+
+
+class Trainer:
+    """The two views of a target while they teach each other; 1 in ``y`` for fine rows."""
+
+    def __init__(self, texts: list, metadata: list, y: np.ndarray):
+        # set aside of each class alike, so that a rare one is there to be calibrated on
+        aside = np.zeros(len(y), bool)
+        for k in (0, 1):
+            of = np.flatnonzero(y == k)
+            aside[of] = np.arange(len(of)) % 10 < 10 * ASIDE
+        if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
+            aside = np.zeros(len(y), bool)  # too few labels: the same rows fit and calibrate
+        fit_on, check_on = np.flatnonzero(~aside), np.flatnonzero(aside) if aside.any() else np.arange(len(y))
+        self.rows = [[v[i] for i in fit_on] for v in (texts, metadata)]
+        self.labels = [list(y[fit_on]) for _ in range(2)]
+        self.weight = [[1.0] * len(fit_on) for _ in range(2)]
+        self.aside = [[v[i] for i in check_on] for v in (texts, metadata)]
+        self.target, self.base = y[check_on].astype(float), float(y.mean())
+        self.views = [np.zeros(TEXT + 1), np.zeros(METADATA + 1)]
+        self.platt: list[np.ndarray] = []
+        self.given = np.zeros((2, 2, 2))
+
+    def fit(self, steps: int) -> None:
+        """Fits both views to what they have, and calibrates them."""
         for v, fit_view in enumerate((_fit_text, _fit_metadata)):
-            weights[v] = fit_view(rows[v], np.array(labels[v], float), weights[v], 120 if step == 0 else 40)
-        if step == ROUNDS or not free.any():
-            break
-        for v in (0, 1):  # what this view is surest of becomes a label for the other one
-            p = _sigmoid(all_pool[v].dot(weights[v]))
-            for good, many in ((1.0, int(GIVEN * base)), (0.0, GIVEN - int(GIVEN * base))):
-                sure = np.where(free, p if good else 1 - p, -1)
-                for i in np.argsort(-sure, kind="stable")[:many]:
-                    if sure[i] >= 0.9:
-                        rows[1 - v].append(pools[1 - v][i])
-                        labels[1 - v].append(good)
-                        free[i] = False
-    target = y[check_on].astype(float)
-    views = [Sparse([v[i] for i in check_on], len(w) - 1).dot(w) for v, w in zip((texts, metadata), weights)]
-    ones = np.ones(len(target))
-    platt = [logistic(_Columns(v), target, ones, np.array([1.0, 0.0]), 400, 0.1) for v in views]
-    calibrated = [v * a + b for v, (a, b) in zip(views, platt)]
-    mix = logistic(_Columns(*calibrated), target, ones, np.array([1.0, 0.0, 0.0]), 400, 0.1)
-    model = Model(*weights, platt, mix, 0.0)
-    model.threshold = cut(model.score(*([v[i] for i in check_on] for v in (texts, metadata))), target)
-    return model
+            self.views[v] = fit_view(self.rows[v], np.array(self.labels[v], float), np.array(self.weight[v]), self.views[v], steps)
+        ones = np.ones(len(self.target))
+        margins = [Sparse(rows, len(w) - 1).dot(w) for rows, w in zip(self.aside, self.views)]
+        self.platt = [logistic(_Columns(m), self.target, ones, np.array([1.0, 0.0]), 400, 0.1) for m in margins]
+
+    def teach(self, by: int, good: int, features: tuple[np.ndarray, np.ndarray]) -> None:
+        """A label from view ``by`` for the other one, weighed by what it knows beyond the base rate."""
+        z = Sparse([features[by]], len(self.views[by]) - 1).dot(self.views[by])[0]
+        a, b = self.platt[by]
+        p = float(_sigmoid(np.array([z * a + b]))[0])
+        sure = (p - self.base) / (1 - self.base) if good else (self.base - p) / self.base
+        if sure > 0:
+            self.rows[1 - by].append(features[1 - by])
+            self.labels[1 - by].append(good)
+            self.weight[1 - by].append(sure)
+            self.given[by, good] += (1, sure)
+
+    def model(self) -> Model:
+        margins = [Sparse(rows, len(w) - 1).dot(w) for rows, w in zip(self.aside, self.views)]
+        calibrated = [m * a + b for m, (a, b) in zip(margins, self.platt)]
+        mix = logistic(_Columns(*calibrated), self.target, np.ones(len(self.target)), np.array([1.0, 0.0, 0.0]), 400, 0.1)
+        model = Model(*self.views, self.platt, mix, 0.0, self.given)
+        model.threshold = cut(model.score(*self.aside), self.target)
+        return model
 
 
 def judged(models: list[Model], texts: list[np.ndarray], metadata: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -229,34 +241,87 @@ _VIEW = ["_text", "_source", "_lang", "_n_chars"]
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = _viewed(batch, _VIEW)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], ["_label", "text", "metadata"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], ["_label", "_id", "text", "metadata"])
 
 
 def _inputs(docs: DataFrame, text_col: str, source_col: str, lang_col: str, size_col: str) -> list:
     return [F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(source_col).cast("string").alias("_source"), F.col(lang_col).cast("string").alias("_lang"), F.col(size_col).cast("long").alias("_n_chars")]
 
 
-def _least(ids: DataFrame, n: int) -> DataFrame:
-    """The n rows of (_id, ...) with the least hash of the id."""
-    return ids.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).orderBy("_h", "_id").limit(n).drop("_h")
+def _margins(views):
+    """(id, margin of each of the given views); views: (0 text or 1 metadata, weights)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = _viewed(batch, _VIEW)
+            found = [Sparse(seen[v], len(w) - 1).dot(w) for v, w in views.value]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.float64()) for x in found)], ["_id", *(f"m{k}" for k in range(len(found)))])
+
+    return run
+
+
+def _surest(own: DataFrame, known: DataFrame, trainers: list[Trainer]) -> list:
+    """Of all documents without a label, those that a view ranks first and last: (slot, _id) rows.
+
+    A slot is 4 * trainer + 2 * view + class.  Every document's margins are written as one short row;
+    tasks hand on no more than GIVEN rows of a slot.
+    """
+    spark = own.sparkSession
+    views = spark.sparkContext.broadcast([(v, w.astype(np.float32)) for t in trainers for v, w in enumerate(t.views)])
+    many = 2 * len(trainers)
+    ident = T.StructField("_id", own.schema["_id"].dataType)
+    margins = own.where("_id is not null").mapInArrow(_margins(views), T.StructType([ident, *(T.StructField(f"m{k}", T.DoubleType()) for k in range(many))]))
+    free = margins.join(known.select("_id"), "_id", "left_anti").dropDuplicates(["_id"])
+    slots = F.array(*(F.struct(F.lit(2 * k + good).alias("slot"), (F.col(f"m{k}") * (1 if good else -1)).alias("sure")) for k in range(many) for good in (0, 1)))
+    asked = free.select("_id", F.explode(slots).alias("at")).select("_id", "at.*")
+    rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("sure"), F.xxhash64(F.col("_id").cast("string")), "_id"))
+    with C.tidy(spark):
+        found = asked.withColumn("rank", rank).where(F.col("rank") <= GIVEN).collect()
+    share = [int(round(GIVEN * (t.base if good else 1 - t.base))) for t in trainers for _ in (0, 1) for good in (0, 1)]
+    return [(r["slot"], r["_id"]) for r in sorted(found, key=lambda r: (r["slot"], r["rank"])) if r["rank"] <= max(1, share[r["slot"]])]
+
+
+def _featured(own: DataFrame, picked: DataFrame) -> list:
+    """(_label, _id, text, metadata) of the documents in ``picked`` (_id, _label), a bounded table."""
+    one = F.min(F.struct(*_VIEW)).alias("row")  # of rows with one id always the same
+    rows = own.join(F.broadcast(picked), "_id").groupBy("_id", "_label").agg(one).select("_label", "_id", "row.*")
+    kind = T.StructType([T.StructField("_label", T.IntegerType()), T.StructField("_id", own.schema["_id"].dataType), T.StructField("text", T.BinaryType()), T.StructField("metadata", T.BinaryType())])
+    with C.tidy(own.sparkSession):
+        return [(r["_label"], r["_id"], np.frombuffer(r["text"], np.int32), np.frombuffer(r["metadata"], np.int32)) for r in rows.mapInArrow(_views, kind).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, columns: list) -> list[Model]:
     """A model of each target of which both classes are labelled."""
+    spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("_id"), *columns)
     # an id with several labels is good, or clean, only if all of them say so; bits 1 and 2 of the label
     good = F.min(F.when(F.col("quality") > 0, 1).otherwise(0))
     clean = F.min(F.when(F.coalesce("toxic", F.lit(0)) <= 0, 2).otherwise(0))
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg((good + clean).alias("_label"))
-    chosen = C.to_table(_least(known, LABELLED), "quality-labels")
-    others = C.to_table(_least(own.select("_id").where(F.col("_id").isNotNull()).join(known.select("_id"), "_id", "left_anti").distinct(), POOL).withColumn("_label", F.lit(-1)), "quality-pool")
-    picked = F.broadcast(chosen.unionByName(others))  # LABELLED + POOL rows at most
-    rows = own.join(picked, "_id").select("_label", "_id", *_VIEW).dropDuplicates(["_id"]).orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").select("_label", *_VIEW).mapInArrow(_views, "_label int, text binary, metadata binary").collect()
-    texts, metadata = ([np.frombuffer(r[k], np.int32) for r in rows] for k in ("text", "metadata"))
-    y = np.array([r["_label"] for r in rows], np.int64)
-    split = lambda v, of: [v[i] for i in np.flatnonzero(of)]
-    models = [co_train(split(texts, y >= 0), split(metadata, y >= 0), y[y >= 0] >> bit & 1, split(texts, y < 0), split(metadata, y < 0)) for bit in (0, 1)]
-    return [m for m in models if m]
+    first = F.xxhash64(F.col("_id").cast("string"))
+    chosen = C.to_table(known.orderBy(first, "_id").limit(LABELLED), "quality-labels")
+    rows = sorted(_featured(own, chosen), key=lambda r: (zlib.crc32(str(r[1]).encode()), str(r[1])))
+    texts, metadata, y = [r[2] for r in rows], [r[3] for r in rows], np.array([r[0] for r in rows], np.int64)
+    trainers = [Trainer(texts, metadata, y >> bit & 1) for bit in (0, 1) if len(set((y >> bit & 1).tolist())) == 2]
+    if not trainers:
+        return []
+    pair = T.StructType([T.StructField("_id", own.schema["_id"].dataType), T.StructField("_label", T.IntegerType())])
+    taken: set = set()
+    for step in range(ROUNDS):
+        for t in trainers:
+            t.fit(120 if step == 0 else 40)
+        given = spark.createDataFrame([(i, 0) for i in sorted(taken)], pair)  # GIVEN rows of each slot and round
+        asked = _surest(own, known.select("_id").unionByName(given.select("_id")), trainers)
+        if not asked:
+            break
+        ids = sorted({i for _, i in asked})
+        features = {i: (text, meta) for _, i, text, meta in _featured(own, spark.createDataFrame([(i, 0) for i in ids], pair))}
+        for slot, i in asked:
+            trainers[slot // 4].teach(slot // 2 % 2, slot % 2, features[i])
+        taken.update(ids)
+    for t in trainers:
+        t.fit(40)
+    return [t.model() for t in trainers]
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars") -> DataFrame:
@@ -264,9 +329,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     A document is good if its label has quality 1 and is not toxic; ``score`` is the product of the
     calibrated probabilities of both and ``keep`` whether each of them reaches its threshold.  Null
-    texts count as empty, null metadata is a value of its own.  Repeated rows are each scored.  A
-    target of which only one class is labelled scores 1 and drops nothing.  An empty table gives no
-    rows.
+    texts count as empty, null metadata is a value of its own.  Long texts are read whole.  Repeated
+    rows are each scored; where rows of one id differ, models see the least of them.  A score that
+    ties with a threshold is kept.  A target of which only one class is labelled scores 1 and drops
+    nothing.  An empty table gives no rows.
     """
     columns = _inputs(docs, text_col, source_col, lang_col, size_col)
     models = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, columns))
@@ -279,9 +345,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(keep, pa.bool_())], ["row", "score", "keep"])
 
     rows = docs.select(row, *columns)
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, keep boolean")
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("keep", T.BooleanType())]))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps."""
+    """The rows of ``docs`` that the classifier keeps: ``classify`` says what becomes of odd ones."""
     return classify(docs, labels, **columns).where("keep").select("row.*")

@@ -257,6 +257,35 @@ def test_contamination_finds_copies_and_edits(spark, docs, nothing):
     assert decontamination.decontaminated(docs, tests).columns == docs.columns
 
 
+def test_contamination_against_full_alignment(spark, monkeypatch):
+    """Held against aligning every item with every whole document, over several blocks of items."""
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2000)
+    draw = random.Random(23)
+    items = [words(f"i{k}", draw.randrange(6, 60), 5000).split() for k in range(40)]
+    texts = []
+    for k in range(240):
+        copy, rate = list(items[k % 40]), draw.choice([0, 0.1, 0.2, 0.3, 0.4])
+        for _ in range(int(rate * len(copy))):
+            at = draw.randrange(len(copy))
+            copy[at : at + draw.randrange(2)] = [f"e{draw.randrange(10**6)}"] * draw.randrange(3)
+        texts.append(" ".join([words(f"b{k}", draw.randrange(0, 40), 5000), *copy, words(f"a{k}", draw.randrange(0, 40), 5000)]))
+    hashed = lambda t: C.hash_tokens(*C.text_buffers(pa.array([t])), C.NOT_WORDY)[0]
+    want = set()
+    for d, text in enumerate(texts):
+        w = hashed(text)[None, :]
+        want |= {(d, i) for i, item in enumerate(items) if decontamination.align(hashed(" ".join(item)), w)[0] >= decontamination.THRESHOLD * decontamination.MATCH * len(item)}
+    found = decontamination.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert got <= want and len(want) > 100 and len(got) >= 0.97 * len(want)
+
+
+def test_decontamination_with_clashing_names(spark):
+    item = words(7, 30, 10**6)
+    frame = spark.createDataFrame([(1, item, 0, "x", 1, 2), (2, "free text", 0, "y", 1, 2)], "_id long, text string, `_hash` int, `_text_hash` string, id int, `my-col` int")
+    out = decontamination.decontaminated(frame, spark.createDataFrame([(0, item)], "item_id long, text string"), "_id")
+    assert out.columns == frame.columns and [(r["_id"], r["_text_hash"]) for r in out.collect()] == [(2, "y")]
+
+
 # ---------------------------------------------------------------- 6
 
 
