@@ -1,12 +1,15 @@
 """A training-data pipeline over ``documents`` from five of the corpus operators.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next one reads it back from
-Parquet.  All but the last return the columns of ``documents``.
+Parquet.  All but the last return the columns of ``documents``, whatever others there are beside the
+ones that a stage reads.  Null and empty texts pass all stages (the classifier judges them as empty
+texts); null ids stay; of repeated rows the second stage keeps one; empty tables stay empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.llm import common as C
 from tagloom.llm import decontamination, jaccard_join, mixing, quality, sharding
@@ -39,9 +42,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row with its shard."""
+    """Each row with its shard, depth, page and bytes; an own column of such a name stays, and the
+    new one has an underscore ahead."""
     ship(spark)
-    return sharding.assign_shards(docs, SHARD_BYTES).select("row.*", "shard", "depth", "page", "bytes")
+    names = ("shard", "depth", "page", "bytes")
+    added = [F.col(n).alias(to) for n, to in zip(names, C.fresh(docs.columns, *names))]
+    return sharding.assign_shards(docs, SHARD_BYTES).select("row.*", *added)
 
 
 STAGES = [
