@@ -51,9 +51,10 @@ def convert(raw: Column, kind: T.DataType, options: XmlOptions, attribute: bool
     if all_strings(kind) and not isinstance(kind, (T.ArrayType, T.MapType)):
         return casts.null_if_empty(raw, options), F.lit(False)
     if isinstance(kind, T.ArrayType):
-        item = lambda x: convert(x, kind.elementType, options)
-        value = F.transform(F.filter(raw, lambda x: ~item(x)[1]), lambda x: item(x)[0])
-        return value, F.coalesce(F.exists(raw, lambda x: item(x)[1]), F.lit(False))
+        item = lambda x: (lambda v, b: F.struct(v.alias("v"), b.alias("b")))(*convert(x, kind.elementType, options))
+        items = F.transform(raw, item)
+        value = F.transform(F.filter(items, lambda x: ~x["b"]), lambda x: x["v"])
+        return value, F.coalesce(F.exists(items, lambda x: x["b"]), F.lit(False))
     if isinstance(kind, T.MapType):
         item = lambda x: convert(x, kind.valueType, options)
         bad = F.coalesce(F.exists(F.map_values(raw), lambda x: item(x)[1]), F.lit(False))
@@ -65,15 +66,24 @@ def convert(raw: Column, kind: T.DataType, options: XmlOptions, attribute: bool
     return value, text.isNotNull() & value.isNull()
 
 
-def typed_fields(get, schema: T.StructType, options: XmlOptions) -> tuple[list[Column], Column]:
+def root_misfit(get, schema: T.StructType, options: XmlOptions) -> Column | None:
+    """Whether an attribute of the record itself does not fit; None where no attribute can be."""
+    flags = [convert(get(f.name), f.dataType, options, True)[1] for f in schema.fields if _is_attribute(f, options) and not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.StringType))]
+    return any_of(flags) if flags else None
+
+
+def _is_attribute(f: T.StructField, options: XmlOptions) -> bool:
+    return f.name.startswith(options.attribute_prefix) and f.name != options.value_tag
+
+
+def typed_fields(get, schema: T.StructType, options: XmlOptions, root: Column | None) -> tuple[list[Column], Column]:
     """Typed top-level fields and whether the record has a misfit; ``get(name)`` is the raw field.
 
-    A misfit in an attribute of the record itself leaves no field.
+    A misfit in an attribute of the record itself leaves no field: ``root`` is a column that holds
+    ``root_misfit``, so that it is not computed for each field again.
     """
-    attribute = lambda name: name.startswith(options.attribute_prefix) and name != options.value_tag
-    parts = [(f, *convert(get(f.name), f.dataType, options, attribute(f.name))) for f in schema.fields]
-    root = [b for f, _, b in parts if attribute(f.name) and not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.StringType))]
-    values = [(F.when(~any_of(root), v) if root else v).cast(f.dataType).alias(f.name) for f, v, _ in parts]
+    parts = [(f, *convert(get(f.name), f.dataType, options, _is_attribute(f, options))) for f in schema.fields]
+    values = [(v if root is None else F.when(~root, v)).cast(f.dataType).alias(f.name) for f, v, _ in parts]
     return values, any_of([b for _, _, b in parts])
 
 

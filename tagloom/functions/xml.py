@@ -30,7 +30,7 @@ def typed_struct(xml: Column, raw: Column, schema: T.StructType, options: XmlOpt
     corrupt = options.column_name_of_corrupt_record
     wanted = T.StructType([f for f in schema.fields if f.name != corrupt])
     broken = raw.getField(corrupt).isNotNull()
-    values, misfit = parsing.typed_fields(raw.getField, wanted, options)
+    values, misfit = parsing.typed_fields(raw.getField, wanted, options, parsing.root_misfit(raw.getField, wanted, options))
     bad = xml.isNotNull() & (broken | misfit)
     fields = {f.name: v for f, v in zip(wanted.fields, values)} | {corrupt: F.lit(None).cast("string").alias(corrupt)}
     if options.mode == "PERMISSIVE" and corrupt in schema.names:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions import parsing
 from tagloom.functions import xml as xml_functions
 from tagloom.sources.options import XmlOptions
-from tagloom.sources.records import xml_records
+from tagloom.sources.records import is_utf8, paths, xml_records
 
 
 def without_mixed_text(kind: T.DataType, options: XmlOptions) -> T.DataType:
@@ -33,22 +33,28 @@ def infer_schema(spark: SparkSession, path: str | list[str], **options: object)
     for key, value in (("timestampFormat", parsed.timestamp_format), ("dateFormat", parsed.date_format)):
         if value:
             native[key] = value
-    found = without_mixed_text(spark.read.format("xml").options(**native).load(path).schema, parsed)
+    found = without_mixed_text(spark.read.format("xml").options(**native).load(paths(path)).schema, parsed)
     corrupt = parsed.column_name_of_corrupt_record
     keep = lambda f: f.name != corrupt or parsed.mode == "PERMISSIVE"
     return T.StructType(sorted((f for f in found.fields if keep(f)), key=lambda f: f.name))
 
 
 def read_xml(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, engine: str = "auto", **options: object) -> DataFrame:
-    """A typed DataFrame of all records.
-
-    ``engine``: ``auto`` scans with Spark's source and casts each leaf; where the schema asks for
-    the text of malformed records it takes whole records instead.  ``split`` cuts flat records out
-    of large files with many tasks; ``stream`` is Spark's one-pass parser with its own semantics.
+    """A typed DataFrame of all records; ``path`` may be a glob, a list, or a text with commas.
+
+    ``engine``: ``auto`` scans files that one task can hold with Spark's source, and cuts records
+    out of larger ones with many tasks (see ``xml_records``); where the schema asks for the text of
+    malformed records these are always cut out, so that text and fields come from one pass.
+    ``split`` cuts flat records out without looking ahead, ``records`` whole ones with one task a
+    file; ``stream`` is Spark's one-pass parser with its own semantics.  Without the option
+    ``timezone`` the session's time zone holds.
     """
     if not path:
         raise ValueError("'path' must be specified for XML data.")
+    path = paths(path)
     parsed = XmlOptions.of(**options)
+    if parsed.timezone is None:
+        parsed = replace(parsed, timezone=spark.conf.get("spark.sql.session.timeZone"))
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     if engine == "stream":
@@ -56,13 +62,20 @@ def read_xml(spark: SparkSession, path: str | list[str], schema: T.StructType |
         return (reader.schema(schema) if schema else reader).load(path)
     if schema is None:
         schema = infer_schema(spark, path, **options)
-    corrupt = parsed.column_name_of_corrupt_record
-    if engine == "split" or corrupt in schema.names:
-        texts = xml_records(spark, path, parsed.row_tag, "split" if engine == "split" else "records", parsed.charset)
-        return _rows(texts, _nullable(schema), parsed)
+    if engine != "auto":
+        return _rows(xml_records(spark, path, parsed.row_tag, engine, parsed.charset), _nullable(schema), parsed)
+    if parsed.column_name_of_corrupt_record in schema.names or (is_utf8(parsed.charset) and _large(spark, path)):
+        return _rows(xml_records(spark, path, parsed.row_tag, "auto", parsed.charset), _nullable(schema), parsed)
     return _scan(spark, path, _nullable(schema), parsed)
 
 
+def _large(spark: SparkSession, path: list[str]) -> bool:
+    """Whether a file is larger than what a task should read."""
+    files = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return files > size
+
+
 def _nullable(kind: T.DataType) -> T.DataType:
     """Nullability of a schema is not enforced, at any depth."""
     if isinstance(kind, T.StructType):
@@ -77,29 +90,51 @@ def _nullable(kind: T.DataType) -> T.DataType:
 def _rows(texts: DataFrame, schema: T.StructType, options: XmlOptions) -> DataFrame:
     """Records with their text at hand.  In PERMISSIVE mode every record is a row."""
     corrupt = options.column_name_of_corrupt_record
-    asked = schema if corrupt in schema.names else T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    per_record = replace(options, mode="FAILFAST" if options.mode == "FAILFAST" else "PERMISSIVE")
+    wanted = T.StructType([f for f in schema.fields if f.name != corrupt])
+    per_record = replace(options, mode="PERMISSIVE")
     # parsed in a projection of its own: each field below reads the one parse
-    parsed = texts.select("xml", xml_functions.raw_struct(F.col("xml"), asked, per_record).alias("raw"))
-    rows = parsed.select(xml_functions.typed_struct(F.col("xml"), F.col("raw"), asked, per_record).alias("row"))
+    rows = texts.select("xml", xml_functions.raw_struct(F.col("xml"), wanted, per_record).alias("raw"))
+    get = lambda name: F.col("raw").getField(name)
+    root = parsing.root_misfit(get, wanted, options)
+    lost = get(corrupt).isNotNull() if root is None else get(corrupt).isNotNull() | root
+    rows = rows.withColumn("lost", lost)
+    values, misfit = parsing.typed_fields(get, wanted, options, F.col("lost"))
+    bad = get(corrupt).isNotNull() | misfit
+    fields = dict(zip(wanted.names, values)) | {corrupt: F.when(bad, F.col("xml")).alias(corrupt)}
+    return _kept(rows, bad, options).select(*(fields[n] for n in schema.names))
+
+
+def _kept(rows: DataFrame, bad: Column, options: XmlOptions) -> DataFrame:
+    """The rows that the mode keeps.  A filter, so that it holds whatever columns are read."""
     if options.mode == "DROPMALFORMED":
-        rows = rows.where(F.col("row").getField(corrupt).isNull())
-    return rows.select(*(F.col("row").getField(n).alias(n) for n in schema.names))
+        return rows.where(~bad)
+    if options.mode == "FAILFAST":
+        return rows.where(F.when(bad, F.raise_error(F.lit(parsing.MALFORMED)).cast("boolean")).otherwise(True))
+    return rows
 
 
-def _scan(spark: SparkSession, path: str | list[str], schema: T.StructType, options: XmlOptions) -> DataFrame:
-    native = options.reading() | {"ignoreSurroundingSpaces": "false"}
-    native.pop("nullValue", None)
-    raw = spark.read.format("xml").options(**native).schema(parsing.string_schema(schema)).load(path)
+def typed_rows(raw: DataFrame, schema: T.StructType, options: XmlOptions) -> DataFrame:
+    """Typed rows of an all-string scan."""
     if parsing.all_strings(schema) and options.null_value is None and not options.treat_empty_values_as_nulls and not options.ignore_surrounding_spaces:
         return raw
-    values, misfit = parsing.typed_fields(lambda name: F.col(f"`{name}`"), schema, options)
-    if options.mode == "DROPMALFORMED":
-        return raw.where(~misfit).select(*values)
-    if options.mode == "FAILFAST":
-        checked = [F.when(misfit, F.raise_error(F.lit(parsing.MALFORMED)).cast(f.dataType)).otherwise(v).alias(f.name) for f, v in zip(schema.fields, values)]
-        return raw.select(*checked)
-    return raw.select(*values)
+    get = lambda name: F.col(f"`{name}`")
+    root = parsing.root_misfit(get, schema, options)
+    if root is not None:
+        lost = next(n for n in ("lost", *(f"lost{i}" for i in range(len(schema)))) if n not in schema.names)
+        raw, root = raw.withColumn(lost, root), F.col(lost)
+    values, misfit = parsing.typed_fields(get, schema, options, root)
+    return _kept(raw, misfit, options).select(*values)
+
+
+def _scan(spark: SparkSession, path: list[str], schema: T.StructType, options: XmlOptions) -> DataFrame:
+    return typed_rows(spark.read.format("xml").options(**string_scan(options)).schema(parsing.string_schema(schema)).load(path), schema, options)
+
+
+def string_scan(options: XmlOptions) -> dict[str, str]:
+    """Options of Spark's source under which all leaves are read as they stand."""
+    native = options.reading() | {"ignoreSurroundingSpaces": "false"}
+    native.pop("nullValue", None)
+    return native
 
 
 def xml_file(spark: SparkSession, path: str, row_tag: str = "ROW", fail_fast: bool = False, **options: object) -> DataFrame:

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions import parsing
+from tagloom.sources import reader, records
 from tagloom.sources.options import XmlOptions
 
 
 def read_xml_stream(spark: SparkSession, path: str, schema: T.StructType | str, **options: object) -> DataFrame:
-    """A stream of the records of new files in ``path``, typed as a batch read types them."""
+    """A stream of the records of new files in ``path``, typed as a batch read types them, in all
+    modes and with the text of malformed records where the schema asks for it."""
     parsed = XmlOptions.of(**options)
+    if parsed.timezone is None:
+        parsed = replace(parsed, timezone=spark.conf.get("spark.sql.session.timeZone"))
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    native = parsed.reading() | {"ignoreSurroundingSpaces": "false"}
-    native.pop("nullValue", None)
-    raw = spark.readStream.format("xml").options(**native).schema(parsing.string_schema(kind)).load(path)
-    values, misfit = parsing.typed_fields(lambda name: F.col(f"`{name}`"), kind, parsed)
-    if parsed.mode == "DROPMALFORMED":
-        raw = raw.where(~misfit)
-    return raw.select(*values)
+    if parsed.column_name_of_corrupt_record in kind.names:
+        return reader._rows(records.whole_records(spark, path, parsed.row_tag, parsed.charset, stream=True), kind, parsed)
+    raw = spark.readStream.format("xml").options(**reader.string_scan(parsed)).schema(parsing.string_schema(kind)).load(path)
+    return reader.typed_rows(raw, kind, parsed)

@@ -1,5 +1,8 @@
+import bz2
 import datetime as dt
 import gzip
+import re
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -12,13 +15,13 @@ from tagloom.functions.xml import from_xml, from_xml_string
 from tagloom.functions.xsd import schema_of_xsd
 from tagloom.sources.options import XmlOptions
 from tagloom.sources.reader import XmlReader, infer_schema, read_xml, xml_dataset, xml_file
-from tagloom.sources.records import xml_records
+from tagloom.sources.records import Pieces, xml_records
 from tagloom.sources.writer import save_as_xml_file, write_xml
 from tagloom.streaming.files import read_xml_stream
 
 PEOPLE = """<people>
-  <p id="1"><name>Ann</name><age born="1990-02-24">25</age><tag>a</tag><tag>b</tag></p>
-  <p id="2"><name>Bob</name><age born="1985-01-01">30</age></p>
+  <p id="1"><name>Ann</name><age born="1971-11-03">53</age><tag>a</tag><tag>b</tag></p>
+  <p id="2"><name>Bob</name><age born="2004-07-19">21</age></p>
   <!-- a comment --><p id="3"><name><![CDATA[C <c>]]></name></p>
 </people>"""
 BROKEN = """<rows><row id="1"><a>1</a><b>x</b></row><row id="2"><a>zz</a><b>y</b></row>
@@ -48,7 +51,7 @@ def test_inferred_schema(spark, put):
 def test_read_types(spark, put):
     got = read_xml(spark, put(PEOPLE), rowTag="p").orderBy("_id").collect()
     assert [r["name"] for r in got] == ["Ann", "Bob", "C <c>"]
-    assert got[0]["age"]["_born"] == dt.date(1990, 2, 24) and got[0]["tag"] == ["a", "b"] and got[2]["age"] is None
+    assert got[0]["age"]["_born"] == dt.date(1971, 11, 3) and got[0]["tag"] == ["a", "b"] and got[2]["age"] is None
 
 
 def test_modes(spark, put):
@@ -105,7 +108,8 @@ def test_charset_and_gzip(spark, put, tmp_path):
 
 def test_same_named_child_and_self_closing(spark, put):
     text = "<r><row><row><c>1</c></row><d>2</d></row><row x='1'/></r>"
-    assert [r[0] for r in xml_records(spark, put(text), "row").collect()][0] == "<row><row><c>1</c></row><d>2</d></row>"
+    for engine in ("auto", "records"):
+        assert sorted(r[0] for r in xml_records(spark, put(text), "row", engine).collect()) == ["<row x='1'/>", "<row><row><c>1</c></row><d>2</d></row>"]
     assert rows(read_xml(spark, put(text), "row struct<c:int>, d int, _x int", rowTag="row")) == [((1,), 2, None), (None, None, 1)]
 
 
@@ -122,6 +126,101 @@ def test_split_engine_keeps_every_record(spark, put, size):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.fixture
+def small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700")
+    yield
+    spark.conf.set(key, before)
+
+
+def odd_records(n):
+    """Records of all kinds: flat, with a child of their name, two deep, empty, with tags of like names."""
+    kinds = [
+        "<row><a>{0}</a><b>x</b></row>",
+        "<row><row><a>7</a></row><a>{0}</a>" + "<b>" + "y" * 300 + "</b></row>",
+        "<row id='>'><row z='/>'><row q='1'/><row><b>deep</b></row ></row><a>{0}</a></row >",
+        "<row a='{0}' b=\"1/>2\"/>",
+        "<row\n><rows>{0}</rows><rowset/><a>{0}</a></row>",
+    ]
+    return [kinds[i % 5].format(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("codec", ["", ".bz2", ".gz"])
+def test_records_that_nest_their_own_name_are_read_by_many_tasks(spark, put, tmp_path, small_splits, codec):
+    records = odd_records(400)
+    text = "<?xml version='1.0'?>\n<rows><!-- -->\n" + "\n  ".join(records) + "\n</rows>\n"
+    path = put(text)
+    if codec:
+        pack = {".bz2": bz2.compress, ".gz": gzip.compress}[codec]
+        (tmp_path / f"in.xml{codec}").write_bytes(pack(text.encode()))
+        path = f"{path}{codec}"
+    got = xml_records(spark, path, "row")
+    assert sorted(r["xml"] for r in got.collect()) == sorted(re.sub(r"</row\s+>", "</row>", x) for x in records)
+    pieces = Pieces("row").read(spark, path)
+    assert pieces.rdd.getNumPartitions() > 1 or codec == ".gz"
+    df = read_xml(spark, path, "a int, _a int", rowTag="row")
+    assert df.select(F.sum(F.coalesce("a", "_a"))).first()[0] == sum(range(400))
+
+
+def test_flat_and_empty_records_in_many_tasks(spark, put, small_splits):
+    text = "<rows>" + "".join(f"<row><a>{i}</a></row><row a='{i}'/>\n" for i in range(300)) + "</rows>"
+    for engine in ("auto", "split"):
+        df = read_xml(spark, put(text), "a int, _a int", engine=engine, rowTag="row")
+        assert df.agg(F.sum("a"), F.sum("_a"), F.count("*")).first() == (44850, 44850, 600)
+    got = read_xml(spark, put(text.replace("<a>7</a>", "<a>7</b>")), "a int, _a int, _corrupt_record string", rowTag="row")
+    assert [r["_corrupt_record"] for r in got.where("_corrupt_record is not null").collect()] == ["<row><a>7</b></row>"]
+
+
+def test_split_engine_refuses_what_it_cannot_read(spark, put):
+    nested = put("<rows><row><row><a>1</a></row></row></rows>")
+    with pytest.raises(Exception, match="flat records only"):
+        read_xml(spark, nested, "a int", engine="split", rowTag="row").collect()
+    with pytest.raises(ValueError, match="UTF-8"):
+        read_xml(spark, nested, "a int", engine="split", rowTag="row", charset="iso-8859-1")
+
+
+def test_a_record_that_the_file_cuts_off(spark, put, small_splits):
+    text = "<rows>" + "".join(odd_records(50)) + "<row><a>1</a><b>"
+    got = [r["xml"] for r in xml_records(spark, put(text), "row").collect()]
+    assert len(got) == 51 and "<row><a>1</a><b>" in got
+
+
+def test_lists_of_paths(spark, put):
+    one, two = put("<r><row><a>1</a></row></r>", "a.xml"), put("<r><row><a>2</a></row></r>", "b.xml")
+    for path in (f"{one},{two}", [one, two], one.replace("a.xml", "{a,b}.xml")):
+        assert sorted(rows(read_xml(spark, path, "a int", rowTag="row"))) == [(1,), (2,)]
+        assert infer_schema(spark, path, rowTag="row").simpleString() == "struct<a:bigint>"
+
+
+def test_failfast_holds_whatever_is_read(spark, put):
+    df = read_xml(spark, put("<r><row><a>1</a></row><row><a>z</a></row></r>"), "a int, b string", rowTag="row", mode="FAILFAST")
+    for query in (df.count, df.select("b").collect, df.collect):
+        with pytest.raises(Exception, match="FAILFAST"):
+            query()
+
+
+def test_session_time_zone(spark, put):
+    path = put("<r><row><t>12/10/2017 07:21</t></row></r>")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    read = lambda **o: read_xml(spark, path, "t timestamp", rowTag="row", timestampFormat="dd/MM/yyyy HH:mm", **o).select(F.unix_timestamp("t")).first()[0]
+    utc = int(dt.datetime(2017, 10, 12, 7, 21, tzinfo=dt.timezone.utc).timestamp())
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert read() == utc - 7200 and read(timezone="UTC") == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert read() == utc
+
+
+def test_twenty_readers_at_once(spark, put):
+    texts = [put("<r>" + f"<t{i}><v{i}>{i}</v{i}></t{i}>" * 50 + "</r>", f"c{i}.xml") for i in range(20)]
+    with ThreadPoolExecutor(20) as pool:
+        found = list(pool.map(lambda i: read_xml(spark, texts[i], rowTag=f"t{i}").agg(F.sum(f"v{i}")).first()[0], range(20)))
+    assert found == [50 * i for i in range(20)]
+
+
 def test_mixed_content_is_no_data(spark, put):
     path = put("<r><root>text <foo>1</foo> more <bar><baz>x</baz> tail</bar></root></r>")
     assert infer_schema(spark, path, rowTag="root").simpleString() == "struct<bar:struct<baz:string>,foo:bigint>"
@@ -185,13 +284,13 @@ def test_reader_api(spark, put):
         ("TRUE", "boolean", True, {}),
         ("0", "boolean", False, {}),
         ("yes", "boolean", None, {}),
-        ("2002-09-24+06:00", "date", dt.date(2002, 9, 24), {}),
-        ("24.09.2002", "date", dt.date(2002, 9, 24), {"date_format": "dd.MM.yyyy"}),
-        ("2002-05-30 21:46:54", "timestamp", dt.datetime(2002, 5, 30, 21, 46, 54), {}),
-        ("2002-05-30T21:46:54+06:00", "timestamp", dt.datetime(2002, 5, 30, 15, 46, 54), {}),
-        ("2002-05-30T21:46:54.1234Z", "timestamp", dt.datetime(2002, 5, 30, 21, 46, 54, 123400), {}),
-        ("05/30/2002 21:46", "timestamp", None, {"timestamp_format": "MM/dd/yyyy HH:mm"}),
-        ("05/30/2002 21:46", "timestamp", dt.datetime(2002, 5, 30, 19, 46), {"timestamp_format": "MM/dd/yyyy HH:mm", "timezone": "Europe/Berlin"}),
+        ("2019-03-08+06:00", "date", dt.date(2019, 3, 8), {}),
+        ("08.03.2019", "date", dt.date(2019, 3, 8), {"date_format": "dd.MM.yyyy"}),
+        ("2017-10-12 07:21:09", "timestamp", dt.datetime(2017, 10, 12, 7, 21, 9), {}),
+        ("2017-10-12T07:21:09+06:00", "timestamp", dt.datetime(2017, 10, 12, 1, 21, 9), {}),
+        ("2017-10-12T07:21:09.1234Z", "timestamp", dt.datetime(2017, 10, 12, 7, 21, 9, 123400), {}),
+        ("10/12/2017 07:21", "timestamp", None, {"timestamp_format": "MM/dd/yyyy HH:mm"}),
+        ("10/12/2017 07:21", "timestamp", dt.datetime(2017, 10, 12, 5, 21), {"timestamp_format": "MM/dd/yyyy HH:mm", "timezone": "Europe/Berlin"}),
         ("", "string", "", {}),
         ("", "string", None, {"treat_empty_values_as_nulls": True}),
         ("n/a", "int", None, {"null_value": "n/a"}),
@@ -235,6 +334,41 @@ def test_stream(spark, put, tmp_path):
         query.stop()
 
 
+def streamed(spark, path, name, schema, **options):
+    query = read_xml_stream(spark, path, schema, **options).writeStream.format("memory").queryName(name).start()
+    try:
+        query.processAllAvailable()
+        return spark.table(name).collect()
+    finally:
+        query.stop()
+
+
+def test_stream_modes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(BROKEN)
+    path = str(tmp_path / "in")
+    got = streamed(spark, path, "tagloom_permissive", "_id int, a int, _corrupt_record string", rowTag="row")
+    assert sorted((r["_id"] or 0, r["a"] or 0, r["_corrupt_record"] is not None) for r in got) == [(0, 0, True), (0, 0, True), (1, 1, False), (2, 0, True), (5, 7, False)]
+    with pytest.raises(Exception, match="FAILFAST"):
+        streamed(spark, path, "tagloom_failfast", "_id int, a int", rowTag="row", mode="FAILFAST")
+
+
+def test_stream_windows_and_late_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put = lambda name, *times: (tmp_path / "in" / name).write_text("<r>" + "".join(f"<e><t>2024-01-01T{t}Z</t></e>" for t in times) + "</r>")
+    events = read_xml_stream(spark, str(tmp_path / "in"), "t timestamp", rowTag="e").withWatermark("t", "10 minutes")
+    counts = events.groupBy(F.window("t", "5 minutes")).count().select(F.minute("window.start").alias("m"), F.hour("window.start").alias("h"), "count")
+    query = counts.writeStream.outputMode("append").format("memory").queryName("tagloom_windows").start()
+    try:
+        for name, times in (("a.xml", ("10:01:00", "10:02:00", "10:06:00")), ("b.xml", ("10:40:00",)), ("c.xml", ("10:03:00", "11:30:00")), ("d.xml", ("12:30:00",))):
+            put(name, *times)
+            query.processAllAvailable()
+        got = sorted((r["h"], r["m"], r["count"]) for r in spark.table("tagloom_windows").collect())
+        assert got[:3] == [(10, 0, 2), (10, 5, 1), (10, 40, 1)]  # the late row of c.xml is not counted
+    finally:
+        query.stop()
+
+
 def test_pruned_scan(spark, put):
     plan = read_xml(spark, put(PEOPLE), "tag array<string>, name string", rowTag="p").select("name")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<name:string>" in plan
