@@ -59,7 +59,7 @@ def to_floating(text: Column, kind: T.DataType, options: XmlOptions) -> Column:
 
 
 def to_decimal(text: Column, kind: T.DecimalType) -> Column:
-    return F.replace(text, F.lit(","), F.lit("")).try_cast(kind)
+    return F.when(~text.rlike(r"\s"), F.replace(text, F.lit(","), F.lit("")).try_cast(kind))
 
 
 def to_date(text: Column, options: XmlOptions) -> Column:

@@ -427,8 +427,8 @@ def xsd_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in row.fields], "name string, type string, nullable boolean")
 
 
-@register("SELECT * FROM nation WHERE n_regionkey <= 2")
-def xsd_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nation_xsd(spark: SparkSession) -> str:
+    """The name of the schema among the files that all tasks get."""
     import tempfile
     from pathlib import Path
 
@@ -437,8 +437,13 @@ def xsd_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
         place = Path(tempfile.gettempdir()) / name
         place.write_text(_NATION_XSD)
         spark.sparkContext.addFile(str(place))
+    return name
+
+
+@register("SELECT * FROM nation WHERE n_regionkey <= 2")
+def xsd_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = parquet(spark, sf_dir, "nation")
-    return read_xml(spark, stored(spark, df, "xsd"), df.schema, rowTag="row", rowValidationXSDPath=name, mode="DROPMALFORMED")
+    return read_xml(spark, stored(spark, df, "xsd"), df.schema, rowTag="row", rowValidationXSDPath=nation_xsd(spark), mode="DROPMALFORMED")
 
 
 # ---------------------------------------------------------------- raw records
@@ -470,7 +475,7 @@ def _sql(text: str, *tables: str, name: str, oracle: str | None = None) -> None:
 _sql("SELECT o_orderkey, c_name, o_totalprice FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE o_totalprice > 150000", "orders", "customer", name="join_inner")
 _sql("SELECT c_custkey, count(o_orderkey) AS n FROM {customer} LEFT JOIN {orders} ON c_custkey = o_custkey GROUP BY c_custkey", "orders", "customer", name="join_left")
 _sql("SELECT c_custkey, c_name FROM {customer} LEFT SEMI JOIN {orders} ON c_custkey = o_custkey", "orders", "customer", name="join_semi", oracle="SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
-_sql("SELECT c_custkey, c_name FROM {customer} LEFT ANTI JOIN {orders} ON c_custkey = o_custkey", "orders", "customer", name="join_anti", oracle="SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+_sql("SELECT c_custkey, c_name FROM {customer} LEFT ANTI JOIN {orders} ON c_custkey = o_custkey AND o_totalprice > 400000", "orders", "customer", name="join_anti", oracle="SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 _sql("SELECT c_custkey, n_name, r_name FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey", "customer", "nation", "region", name="join_broadcast")
 _sql("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, round(avg(o_totalprice), 4) AS mean FROM {orders} GROUP BY o_orderstatus, o_orderpriority", "orders", name="agg_groupby")
 _sql("SELECT count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM {lineitem}", "lineitem", name="agg_distinct")
@@ -501,6 +506,9 @@ def join_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(rows.where("event_type <> 'purchase'"), bought, "ts", "bought", ["user_id"], ["bought"]).select("event_id", "bought")
 
 
+from tagloom.plans import relational, shapes  # noqa: E402, F401  these register further queries
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -186,7 +187,7 @@ class XmlReader:
 
 
 for _key in ("charset", "compression", "rowTag", "samplingRatio", "excludeAttribute", "treatEmptyValuesAsNulls", "parseMode", "attributePrefix", "valueTag", "columnNameOfCorruptRecord", "ignoreSurroundingSpaces", "rowValidationXSDPath"):
-    _name = "with_" + "".join(f"_{c.lower()}" if c.isupper() and not _key[i - 1].isupper() else c.lower() for i, c in enumerate(_key))
+    _name = "with_" + re.sub(r"([a-z])([A-Z])|([A-Z])([A-Z][a-z])", r"\1\3_\2\4", _key).lower()
 
     def _setter(self: XmlReader, value: object, _key: str = "mode" if _key == "parseMode" else _key) -> XmlReader:
         return self._with(_key, value)

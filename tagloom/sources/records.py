@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections import OrderedDict
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -81,10 +82,22 @@ class Pieces:
         return F.concat(F.lit(self.open), F.when(self.empty, F.regexp_extract(value, _EMPTY, 0)).otherwise(F.concat(self.ahead, F.lit(self.close))))
 
 
+#: What the last looks ahead have found, by files and tag, so that the same files are not read ahead again.
+_looked: OrderedDict[tuple, bool] = OrderedDict()
+LOOKS_KEPT = 256
+
+
 def is_flat(spark: SparkSession, path: str | list[str], row_tag: str) -> bool:
     """Whether all pieces are plain or hold nothing (a scan that ends at the first other one)."""
-    p = Pieces(row_tag)
-    return p.read(spark, path).where(~p.plain & ~p.nothing).limit(1).isEmpty()
+    files = spark.read.format("binaryFile").load(path)
+    state = files.agg(F.count("*"), F.sum("length"), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
+    key = (row_tag, *state)
+    if key not in _looked:
+        p = Pieces(row_tag)
+        _looked[key] = p.read(spark, path).where(~p.plain & ~p.nothing).limit(1).isEmpty()
+        while len(_looked) > LOOKS_KEPT:
+            _looked.popitem(last=False)
+    return _looked[key]
 
 
 def flat_records(spark: SparkSession, path: str | list[str], row_tag: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,16 +26,30 @@ def _check_names(kind: T.DataType, options: XmlOptions) -> None:
     elif isinstance(kind, T.ArrayType):
         _check_names(kind.elementType, options)
     elif isinstance(kind, T.MapType):
+        _check_names(kind.keyType, options)
         _check_names(kind.valueType, options)
-    elif isinstance(kind, (T.BinaryType, T.DayTimeIntervalType, T.YearMonthIntervalType)):
+    elif isinstance(kind, (T.BinaryType, T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType, T.VariantType)):
         raise ValueError(f"unsupported type: {kind.simpleString()}")
 
 
+def _legal(value: Column, kind: T.DataType) -> Column:
+    """The value without characters that XML cannot hold, at any depth."""
+    if isinstance(kind, T.StringType):
+        return F.regexp_replace(value, _ILLEGAL, "")
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*(_legal(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _legal(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _legal(x, kind.valueType))
+    return value
+
+
 def write_xml(df: DataFrame, path: str, mode: str = "errorifexists", strict: bool = False, strip_illegal: bool = False, **options: object) -> None:
     """Writes a directory of XML files.
 
     ``strict`` refuses to append.  ``strip_illegal`` drops characters that XML cannot hold from
-    top-level strings; without it they fail when read back.
+    strings at any depth; without it they fail when read back.
     """
     if strict and mode.lower() == "append":
         raise ValueError("append mode is not supported; use overwrite instead.")
@@ -43,7 +57,7 @@ def write_xml(df: DataFrame, path: str, mode: str = "errorifexists", strict: boo
     native = parsed.writing()
     _check_names(df.schema, parsed)
     if strip_illegal:
-        df = df.select(*(F.regexp_replace(f.name, _ILLEGAL, "").alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields))
+        df = df.select(*(_legal(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields))
     df.write.format("xml").options(**native).mode(mode).save(path)
 
 
