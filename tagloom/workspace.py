@@ -10,10 +10,12 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir`` (a temporary folder where that is unset, as in
-    tests); it is removed when the driver ends."""
+    """A new path under ``spark.checkpoint.dir`` (where that is unset and the session runs on one
+    machine, as in tests, under a temporary folder); it is removed when the driver ends."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tagloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/xml/{name}-{uuid.uuid4().hex}"
