@@ -7,8 +7,9 @@ steps on the logarithm of the words taken.  A rate depends on source and size al
 run over exact counts of documents by (source, size).
 
 Rates become copies by a threshold hashed from the document.  Each source's threshold then moves to
-where the words taken meet the target: the documents' distances to their next copy are summed in a
-coarse and a fine histogram, which finds the place without ordering a source's rows.
+where the words taken meet the target: the documents' distances to their next copy are summed in ever
+finer histograms, as many as it takes for a bin to hold about one document, which finds the place
+without ordering a source's rows.
 
 Tables of sources are written and read back, so Spark knows their size and broadcasts them only
 where that is under its own threshold.
@@ -24,7 +25,7 @@ from . import common as C
 #: A document's, and with that a source's, largest multiple; weights of the sources in turn.
 CAP, WEIGHTS = 3, (1, 2, 3)
 NEWTON_STEPS, TOLERANCE = 60, 1e-6
-#: Bits of a distance between copies, and of the two histograms over it.
+#: Bits of a distance between copies, and of each histogram over it.
 DISTANCE_BITS, BIN_BITS = 40, 10
 
 
@@ -60,7 +61,11 @@ def _tilt() -> Column:
 
 
 def solve_dual(groups: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, lam) of each source with words, from exact counts (source, size, n)."""
+    """(source, lam) of each source with words, from exact counts (source, size, n).
+
+    A source that has not met TOLERANCE after NEWTON_STEPS goes on with its last rate; its copies
+    are placed to meet the target all the same.
+    """
     least = groups.groupBy("source").agg((F.log(F.lit(float(CAP))) / F.min("size")).alias("most"))
     full = F.col("target") >= CAP * F.col("source_size") * (1 - 1e-9)  # every document at the cap
     nothing = F.lit(None).cast("double")
@@ -133,7 +138,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The null source counts as one source.  Null and empty texts have size 0 and weigh nothing: they
     are taken once.  A source without words has target 0.  Repeated rows move together.  A source
-    ends within about one document of its target.  Reruns agree.  An empty table gives no rows.
+    ends within about one document of its target, or one group of documents with equal ids.  Very
+    long texts count by all their words.  Reruns agree.  An empty table gives no rows.
     """
     sized = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
@@ -151,9 +157,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gap = far.groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).withColumn("gap", F.col("target") - F.col("taken"))
     state = C.to_table(gap.select("source", (F.col("gap") > 0).alias("more"), F.abs("gap").alias("gap"), F.lit(0).cast("long").alias("start")), "mix-gap")
     weighty = far.where("size > 0").drop("target")
-    state = C.to_table(_nearer(weighty, state, DISTANCE_BITS - BIN_BITS).drop("words"), "mix-gap")
-    fine = DISTANCE_BITS - 2 * BIN_BITS
-    state = _nearer(weighty, state, fine)
+    levels = min(DISTANCE_BITS // BIN_BITS, max(2, -(-rows.count().bit_length() // BIN_BITS)))
+    for level in range(1, levels + 1):
+        fine = DISTANCE_BITS - level * BIN_BITS
+        state = C.to_table(_nearer(weighty, state, fine), "mix-gap")
     # the last bin goes too where that comes nearer to the target
     stop = F.when(F.col("words") - F.col("gap") < F.col("gap"), F.col("start") + (1 << fine)).otherwise(F.col("start"))
     plan = C.to_table(_with(lam, state.select("source", "more", stop.alias("stop")), "left"), "mix-plan")
@@ -164,6 +171,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed_documents(docs: DataFrame, **columns: str) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken."""
+    """The mix itself: each row of ``docs`` as often as it is taken (``mix_sources`` has the odd cases:
+    null and empty texts stay once)."""
     taken = mix_sources(docs, **columns).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_")).select("row.*")
