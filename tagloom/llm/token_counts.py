@@ -73,7 +73,7 @@ def load_pieces(path: str) -> dict[str, float]:
     trainer, normalizer = spec[2], spec[3]
     if trainer.get(3) != 2 or not trainer.get(35) or normalizer.get(2) or not normalizer.get(3, 1) or normalizer.get(4, 1):
         raise ValueError(f"not a byte-fallback BPE model without normalisation: {path}")
-    if any(re.search("[^ ] ", piece) for piece in ranks):
+    if any(re.search("[^ ] |[^\n]\n|\n[^\n]", piece) for piece in ranks):
         raise ValueError("a piece spans a word boundary")
     return ranks
 
@@ -138,8 +138,9 @@ _counters: dict[str, Counter] = {}
 def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """Tokens of each text under the piece model at ``model`` (a path on the driver).
 
-    Null and empty texts have 0 tokens; repeated rows and null ids stay as they are; an empty table
-    gives no rows; other columns are not read.
+    Null and empty texts have 0 tokens; very long texts are counted whole; of pairs with equal ranks
+    the leftmost is merged first; repeated rows and null ids stay as they are; an empty table gives
+    no rows; other columns, whatever their names, are not read.
     """
     known_as, vocabulary = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
