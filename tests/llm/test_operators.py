@@ -412,6 +412,16 @@ def test_token_counts_agree_with_the_library(spark, docs, nothing):
     assert token_counts.count_tokens(nothing, path).count() == 0
 
 
+def test_pieces_across_lines_are_refused(tmp_path, monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("piece_bpe_32k.model")
+    fields = token_counts._fields
+    odd = lambda data: ((n, {1: b"a\nb"}.get(n, v)) if n == 1 and isinstance(v, bytes) and v.startswith("▁the".encode()) else (n, v) for n, v in fields(data))
+    monkeypatch.setattr(token_counts, "_fields", odd)
+    with pytest.raises(ValueError, match="word boundary"):
+        token_counts.load_pieces(path)
+
+
 # ---------------------------------------------------------------- 9
 
 
@@ -489,6 +499,8 @@ def test_jaccard_join_against_brute_force(spark, docs, nothing):
 @pytest.mark.parametrize("edits", [(2, 3), (0, 2)])  # copies near the limit, and one main component
 def test_jaccard_join_of_a_large_group_in_blocks(spark, monkeypatch, edits):
     monkeypatch.setattr(jaccard_join, "BLOCK_WEIGHT", 40 * (jaccard_join.SET_WEIGHT + 96))
+    if edits[0] == 0:  # with most values as single rows
+        monkeypatch.setattr(jaccard_join, "HOT", 16)
     draw, base, data = random.Random(17), words("group", 100, 10**6).split(), []
     for k in range(400):
         copy = list(base)
@@ -534,6 +546,75 @@ def test_queries_agree_with_sql(spark, name):
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.select(*columns).collect())
 
 
+def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
+    """run() on a small corpus: copies, a large group of near copies, benchmark passages, odd rows."""
+    import corpus_pipeline
+
+    draw, item = random.Random(29), words("item", 40, 10**6)
+    texts = [words(f"t{k}", draw.randrange(20, 120), 10**6) for k in range(120)]
+    base = words("base", 90, 10**6).split()
+    for k in range(300):
+        copy = list(base)
+        for _ in range(draw.randrange(4)):
+            copy[draw.randrange(90)] = f"e{draw.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    texts += texts[:15] + [words(f"l{k}", 30, 10**6) + " " + item.upper() for k in range(6)] + ["junk ||| " * 30] * 3 + [None, "", " \n"]
+    data = [(k, t, "en", f"s{k % 4}", len(t or ""), "own") for k, t in enumerate(texts)] + [(3, texts[3], "en", "s3", 5, "own"), (None, words("nobody", 40, 10**6), None, None, None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, `bytes` string")
+    labels = spark.createDataFrame([(k, int("junk" not in (t or "")), 0) for k, t in enumerate(texts) if k % 3 == 0 or "junk" in (t or "")], "doc_id long, quality int, toxic int")
+    for name, table in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame([(0, item)], "item_id long, text string"))):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    decide = quality.good_documents
+    judged = []
+    monkeypatch.setattr(quality, "good_documents", lambda *a: judged.append(C.to_table(decide(*a), "judged")) or judged[0])
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out[0].asDict().keys() == {*docs.columns, "shard", "depth", "page", "_bytes"}
+    kept = [(r["doc_id"], r["text"], r["source"]) for r in judged[0].collect()]
+    assert sum("nobody" not in str(x[1]) for x in kept) > 400
+    # one of each class, the least (id, nulls last); rows without words stay
+    worded = sorted({x for x in kept if tokens(x[1])}, key=lambda x: (x[0] is None, x[0] or 0))
+    classes = brute_classes([x[1] for x in worded])
+    least = {}
+    for c, x in zip(classes, worded):
+        least.setdefault(c, x)
+    clean = [x for x in least.values() if item.upper() not in x[1]] + [x for x in kept if not tokens(x[1])]
+    mixed = Counter((r["doc_id"], r["text"], r["source"]) for r in out)
+    assert set(mixed) <= set(clean) and max(mixed.values()) <= 3
+    assert all(mixed[x] == 1 for x in clean if not tokens(x[1]))
+    sizes = Counter()
+    for x in clean:
+        sizes[x[2]] += len(tokens(x[1]))
+    want, taken = water_filled(dict(sizes)), Counter()
+    for x, n in mixed.items():
+        taken[x[2]] += n * len(tokens(x[1]))
+    assert all(abs(taken[s] - want[s]) <= 130 for s in sizes)
+    real = Counter()
+    for r in out:
+        real[r["shard"], r["page"]] += len((r["text"] or "").encode())
+    assert all(real[r["shard"], r["page"]] == r["_bytes"] <= corpus_pipeline.SHARD_BYTES for r in out)
+
+
+def brute_classes(texts):
+    """A class for each text, by comparing all of them."""
+    sets = []
+    for text in texts:
+        w = tokens(text)
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))))
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                parent[root(a)] = root(b)
+    return [root(x) for x in range(len(sets))]
+
+
 @needs_tables
 def test_pipeline_runs_and_each_stage_takes_effect(spark):
     import corpus_pipeline
