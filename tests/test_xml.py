@@ -1,6 +1,7 @@
 import bz2
 import datetime as dt
 import gzip
+import random
 import re
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
@@ -13,6 +14,7 @@ from tagloom.functions import casts
 from tagloom.functions.schema import schema_of_xml, schema_of_xml_array
 from tagloom.functions.xml import from_xml, from_xml_string
 from tagloom.functions.xsd import schema_of_xsd
+from tagloom.operators.joins import asof_join
 from tagloom.sources.options import XmlOptions
 from tagloom.sources.reader import XmlReader, infer_schema, read_xml, xml_dataset, xml_file
 from tagloom.sources.records import Pieces, xml_records
@@ -369,6 +371,15 @@ def test_stream_windows_and_late_rows(spark, tmp_path):
         query.stop()
 
 
+def test_asof_join_over_slices(spark):
+    draw = random.Random(3)
+    left = [(i, draw.choice("aaab"), draw.choice([None, *range(-50, 1100)])) for i in range(400)]
+    right = [(draw.choice("aac"), t, t * 10) for t in draw.sample(range(1000), 90)]
+    got = {r["i"]: r["v"] for r in asof_join(spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "k string, u int, v int"), "t", "u", ["k"], ["v"], slices=16).collect()}
+    want = {i: max(((u, v) for key, u, v in right if key == k and t is not None and u <= t), default=(None, None))[1] for i, k, t in left}
+    assert got == want
+
+
 def test_pruned_scan(spark, put):
     plan = read_xml(spark, put(PEOPLE), "tag array<string>, name string", rowTag="p").select("name")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<name:string>" in plan
