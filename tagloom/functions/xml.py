@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions import parsing
+from tagloom.functions.single import parse_text
 from tagloom.sources.options import XmlOptions
 
 
@@ -59,8 +60,11 @@ def from_xml(xml: Column | str, schema: T.DataType | str, options: dict | None =
     return _parsed(xml, kind, parsed)
 
 
-def from_xml_string(spark: SparkSession, xml: str, schema: T.StructType | str, options: dict | None = None) -> Row | None:
-    """One text to one Row, on the driver."""
+def from_xml_string(spark: SparkSession | None, xml: str | None, schema: T.StructType | str, options: dict | None = None) -> Row | None:
+    """One text to one Row.  Without a session, such as inside a UDF, plain Python reads it; the
+    schema is then a StructType."""
+    if spark is None:
+        return parse_text(xml, schema, XmlOptions.of(**(options or {})))
     frame = spark.createDataFrame([(xml,)], "xml string")
     return frame.select(from_xml("xml", schema, options).alias("row")).first()["row"]
 

@@ -380,6 +380,39 @@ def test_asof_join_over_slices(spark):
     assert got == want
 
 
+SINGLE = "_id int, s string, z boolean, i int, h smallint, d double, f float, c decimal(8,2), dt date, t timestamp, a array<int>, o struct<x:int,_y:string,_VALUE:string>, m map<string,int>, _corrupt_record string"
+TEXTS = [
+    None,
+    "<r/>",
+    "<r id='3'><s>a&amp;b<!-- c --></s><z>TRUE</z><i>-7</i><h>9</h><d>1,000.5</d><f>1.1</f><c>1,234.567</c><dt>2019-03-08+06:00</dt><t>2017-10-12 07:21:09.5</t></r> junk",
+    "<r><a>1</a><a>2</a><o y='k'>text</o><m q='1'><w>2</w></m><s><b>x</b> y</s></r>",
+    "<r><a>1</a><a>z</a><a>3</a><s>kept</s></r>",
+    "<r><o y='k'><x>q</x></o><m><w>zz</w></m><i>1</i></r>",
+    "<r id='x'><s>lost</s></r>",
+    "<r><i>99999999999</i><h>40000</h><z>maybe</z><d>1d</d><c> 1 </c></r>",
+    "<r><i></i><s></s><d> </d></r>",
+    "<r><i>1</r>",
+    "no xml",
+    "<r><s><![CDATA[<&>]]></s><t>2017-10-12T07:21:09+02:00</t><f>nan</f></r>",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_one_text_without_a_session(spark, text):
+    schema = T._parse_datatype_string(SINGLE)
+    for options in ({}, {"treatEmptyValuesAsNulls": True}, {"mode": "DROPMALFORMED"}):
+        assert repr(from_xml_string(None, text, schema, options)) == repr(from_xml_string(spark, text, schema, options))
+
+
+def test_one_text_inside_a_udf(spark):
+    schema = T._parse_datatype_string("x int, a array<string>")
+    read = F.udf(lambda x: from_xml_string(None, x, schema), schema)
+    got = spark.createDataFrame([("<r><x>1</x><a>p</a><a>q</a></r>",), ("<r><x>z</x></r>",), (None,)], "t string").select(read("t").alias("r")).collect()
+    assert [r["r"] and tuple(r["r"]) for r in got] == [(1, ["p", "q"]), None, None]
+    with pytest.raises(ValueError, match="FAILFAST"):
+        from_xml_string(None, "<r>", schema, {"mode": "FAILFAST"})
+
+
 def test_pruned_scan(spark, put):
     plan = read_xml(spark, put(PEOPLE), "tag array<string>, name string", rowTag="p").select("name")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<name:string>" in plan
