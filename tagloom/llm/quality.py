@@ -238,6 +238,14 @@ def _viewed(batch: pa.RecordBatch, names: list[str]) -> tuple[list[np.ndarray],
 _VIEW = ["_text", "_source", "_lang", "_n_chars"]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a bounded size of text (or one row), so that features of few rows are held."""
+    for batch in batches:
+        _, offsets = C.text_buffers(batch.column(batch.schema.get_field_index(_VIEW[0])))
+        for a, b in C.pieces(offsets):
+            yield batch.slice(a, b - a)
+
+
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = _viewed(batch, _VIEW)
@@ -252,7 +260,7 @@ def _margins(views):
     """(id, margin of each of the given views); views: (0 text or 1 metadata, weights)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             seen = _viewed(batch, _VIEW)
             found = [Sparse(seen[v], len(w) - 1).dot(w) for v, w in views.value]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.float64()) for x in found)], ["_id", *(f"m{k}" for k in range(len(found)))])
@@ -339,9 +347,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            score, keep = judged(models.value, *_viewed(batch, _VIEW)) if n else (np.ones(0), np.ones(0, bool))
+        for batch in _parts(batches):
+            score, keep = judged(models.value, *_viewed(batch, _VIEW))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(keep, pa.bool_())], ["row", "score", "keep"])
 
     rows = docs.select(row, *columns)
