@@ -167,6 +167,9 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_pages(found: DataFrame, id_type: str = "long") -> DataFrame:
-    """One row for each record of ``archives``, checked against its digest."""
+    """One row for each record of ``archives``, checked against its digest: ids as ``id_type``, null
+    where a record has none.  Repeated records each give a row, an empty file none; damage raises
+    ValueError, wherever it is.  An archive is read in one piece, so its size bounds the memory.
+    """
     rows = found.where("length > 0").select("path", "content").mapInArrow(_reader, _FIELDS)
     return rows.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
