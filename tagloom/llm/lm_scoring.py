@@ -31,7 +31,7 @@ from . import common as C
 #: Of seven parts of the documents by crc32 of the id, the one never learnt from, and the deleted one.
 PARTS, TEST_PART, DELETED_PART = 7, 2, 3
 #: Text bytes of a block; keys that a counting task should hold at a time.
-BLOCK_BYTES, BUCKET_KEYS = 8 << 20, 1_000_000
+BLOCK_BYTES, BUCKET_KEYS = 4 << 20, 500_000
 #: Context buckets: none, then one for each power of two of a 64-bit count.  Cells to an octave of a ratio.
 CONTEXT_BUCKETS, GRID = 65, 4
 
