@@ -12,7 +12,8 @@ finer histograms, as many as it takes for a bin to hold about one document, whic
 without ordering a source's rows.
 
 Tables of sources are written and read back, so Spark knows their size and broadcasts them only
-where that is under its own threshold.
+where that is under its own threshold.  Sources are ranked range by range, so there may be as many
+as there are hosts.
 """
 
 from __future__ import annotations
@@ -29,6 +30,24 @@ NEWTON_STEPS, TOLERANCE = 60, 1e-6
 DISTANCE_BITS, BIN_BITS = 40, 10
 
 
+def _running(rows: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
+    """``rows`` with <name>_ahead, the sum of each of ``sums`` over the rows before in ``order``, and
+    <name>_all, that over all rows.
+
+    Rows are dealt to ranges of the order and written, which fixes the ranges.  Sums run within each
+    range, and what the ranges before it hold is added; there are no more ranges than shuffle
+    partitions, so no task sees all rows.
+    """
+    ranged = C.to_table(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    preceding = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0)
+    held = ranged.groupBy("range").agg(*(F.sum(x).alias(n) for n, x in sums.items()))
+    earlier, within = preceding(Window.orderBy("range")), preceding(Window.partitionBy("range").orderBy(*order))
+    held = held.select("range", *(F.coalesce(F.sum(n).over(earlier), none).alias(f"{n}_before") for n in sums), *(F.sum(n).over(Window.partitionBy()).alias(f"{n}_all") for n in sums))
+    out = ranged.select("*", *(F.coalesce(F.sum(x).over(within), none).alias(f"{n}_within") for n, x in sums.items())).join(F.broadcast(held), "range")
+    return out.select(*rows.columns, *((F.col(f"{n}_before") + F.col(f"{n}_within")).alias(f"{n}_ahead") for n in sums), *(f"{n}_all" for n in sums))
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, source_size, target) from (source, source_size).
 
@@ -37,16 +56,18 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     In order of size to weight, a source is held at 3 times its size as long as its share of what
     the ones before it leave is above that.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(WEIGHTS))) + 1).cast("int")
-    weighed = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), turn).cast("double"))
-    everything = Window.partitionBy()
-    before = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    left_words = F.sum("source_size").over(everything).cast("double") - CAP * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    left_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    ranked = weighed.withColumn("share", left_words / left_weight).withColumn("held", F.col("weight") * F.col("share") > CAP * F.col("source_size"))
-    first_free = F.min(F.when(~F.col("held"), F.struct(F.col("source_size") / F.col("weight"), F.col("source").isNull(), F.col("source"), F.col("share")))).over(everything)
-    target = F.when(F.col("held"), CAP * F.col("source_size").cast("double")).otherwise(F.col("weight") * first_free["share"])
+    by_name, room = F.col("source").asc_nulls_last(), F.col("source_size") / F.col("weight")
+    numbered = _running(sizes, [by_name], ranks=F.lit(1))
+    turn = (F.pmod(F.col("ranks_ahead"), F.lit(len(WEIGHTS))) + 1).cast("int")
+    weighed = numbered.select("source", "source_size", F.element_at(F.array(*map(F.lit, WEIGHTS)), turn).cast("double").alias("weight"))
+    ranked = _running(weighed, [room.asc(), by_name], words=F.col("source_size"), weights=F.col("weight"))
+    left_words = F.col("words_all").cast("double") - CAP * F.col("words_ahead")
+    left_weight = F.col("weights_all") - F.col("weights_ahead")
+    ranked = ranked.withColumn("share", left_words / left_weight).withColumn("held", F.col("weight") * F.col("share") > CAP * F.col("source_size"))
+    first = F.min(F.struct(room.alias("room"), F.col("source").isNull().alias("none"), "source", "share")).alias("first")
+    free = ranked.where(~F.col("held")).agg(first).first()["first"]  # one row
+    share = F.lit(free["share"] if free else None).cast("double")
+    target = F.when(F.col("held"), CAP * F.col("source_size").cast("double")).otherwise(F.col("weight") * share)
     return ranked.select("source", "source_size", target.alias("target"))
 
 

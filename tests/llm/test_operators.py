@@ -217,6 +217,23 @@ def test_mixing_targets_and_copies(spark):
     assert again == {r["doc_id"]: r["copies"] for r in out}
 
 
+def test_targets_of_very_many_sources(spark):
+    draw = random.Random(8)
+    sizes = {f"host{i:04d}{draw.choice(['', 'Ä', '😀'])}": int(draw.paretovariate(0.6) * 10) for i in range(4000)} | {None: 77, "empty": 0, "": 0}
+    sizes |= {f"like{i}": 500 for i in range(300)}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # so that there are several ranges
+    try:
+        frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        ranges = mixing._running(frame, [F.col("source").asc_nulls_last()], ranks=F.lit(1))
+        assert sorted(r["ranks_ahead"] for r in ranges.collect()) == list(range(len(sizes)))
+        got = {r["source"]: r["target"] for r in mixing.source_targets(frame).collect()}
+    finally:
+        spark.conf.unset(key)
+    want = water_filled(sizes)
+    assert set(got) == set(want) and all(abs(got[s] - want[s]) <= 1e-9 * max(1, want[s]) for s in want)
+
+
 def test_mixing_edges(docs, nothing):
     out = mixing.mix_sources(docs)
     assert out.count() == docs.count() and out.where("copies > 3").count() == 0
