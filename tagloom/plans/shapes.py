@@ -13,19 +13,19 @@ from tagloom.functions import xsd
 from tagloom.functions.xml import to_xml
 from tagloom.plans.queries import _broken, _fields, _payloads, parquet, register, stored, texts
 from tagloom.sources.reader import XmlReader, infer_schema, read_xml, xml_dataset, xml_file, xml_rdd
-from tagloom.sources.records import Pieces, xml_records
+from tagloom.sources.records import Pieces, is_flat, xml_records
 from tagloom.sources.writer import save_as_xml_file, write_xml
 from tagloom.workspace import scratch_path
 
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def settled(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -42,12 +42,26 @@ def lines_of(spark: SparkSession, sf_dir: str, table: str, text: str, name: str)
 # ---------------------------------------------------------------- large files in many tasks
 
 
+#: A large file has very many cuts of a few kilobytes: about so many tasks, or four to a core, share them.
+TASKS = 64
+
+
+@contextmanager
+def small_cuts(spark: SparkSession):
+    """Files are cut every few kilobytes, and a task takes as many cuts as come to it."""
+    tasks = max(TASKS, 4 * spark.sparkContext.defaultParallelism)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "2k"), setting(spark, "spark.sql.files.maxPartitionNum", str(tasks)):
+        yield
+
+
 def _in_tasks(spark: SparkSession, path: str, schema: str, name: str, **options: object) -> DataFrame:
-    """A read of files that are cut every few kilobytes, and in how many parts they were (parts)."""
-    with setting(spark, "spark.sql.files.maxPartitionBytes", "2k"):
+    """A read of files that are cut every few kilobytes, and whether more than one task found some text (tasks)."""
+    is_flat(spark, [path], "row")  # remembered; what it finds doesn't depend on the cuts
+    with small_cuts(spark):
         rows = settled(spark, read_xml(spark, path, schema, rowTag="row", **options), name)
-        parts = Pieces("row").read(spark, path).select("_metadata.file_block_start").distinct().count()
-    return rows.withColumn("parts", F.lit(parts))
+        # the first task has the first cut, which always has text; the scan ends at the first text of another
+        one = Pieces("row").read(spark, path).where(F.spark_partition_id() > 0).limit(1).isEmpty()
+    return rows.withColumn("tasks", F.lit(not one))
 
 
 _NESTED = "format_string('<row id=\"%d\"><k>%d</k><row x=\"2\"><s>%s</s><row y=\"1\"/></row><row>%s</row></row>', o_orderkey, o_custkey, o_orderstatus, repeat('z', int(o_orderkey % 50)))"
@@ -56,7 +70,7 @@ _NESTED = "format_string('<row id=\"%d\"><k>%d</k><row x=\"2\"><s>%s</s><row y=\
 @register("SELECT o_orderkey AS id, o_custkey AS k, true AS tasks FROM orders")
 def nested_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = texts(spark, parquet(spark, sf_dir, "orders").coalesce(1).selectExpr(_NESTED), "nested")
-    return _in_tasks(spark, path, "_id bigint, k bigint", "nested").selectExpr("_id AS id", "k", "parts > 1 AS tasks")
+    return _in_tasks(spark, path, "_id bigint, k bigint", "nested").selectExpr("_id AS id", "k", "tasks")
 
 
 @register("SELECT o_orderkey AS id, o_custkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS s FROM orders")
@@ -72,7 +86,7 @@ def bzip2_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a block of bzip2 holds 900 kB of text, so records get some that does not shrink by its runs
     padded = f"replace({_NESTED}, '<k>', concat('<pad>', repeat(md5(string(o_orderkey)), 40), '</pad><k>'))"
     parquet(spark, sf_dir, "orders").coalesce(1).selectExpr(padded).write.option("compression", "bzip2").text(path)
-    return _in_tasks(spark, path, "_id bigint, k bigint", "bz").selectExpr("_id AS id", "k", "parts > 1 AS tasks")
+    return _in_tasks(spark, path, "_id bigint, k bigint", "bz").selectExpr("_id AS id", "k", "tasks")
 
 
 @register("SELECT count(*) AS n, sum((o_orderkey % 10 = 0 OR o_orderkey % 7 = 0)::INT)::BIGINT AS bad, true AS whole FROM orders")
