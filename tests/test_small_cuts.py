@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tagloom.plans.shapes import TASKS
 
 SF = "/root/testdata/sf0.01"
-NAMES = ["corrupt_text_in_tasks"]
+NAMES = ["corrupt_text_in_tasks", "empty_records_in_tasks"]
 
 
 def most_tasks(spark, action):
