@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tagloom.plans.shapes import TASKS
+from tagloom.sources.records import nested_records
 
 SF = "/root/testdata/sf0.01"
-NAMES = ["corrupt_text_in_tasks", "empty_records_in_tasks"]
+NAMES = ["corrupt_text_in_tasks", "empty_records_in_tasks", "nested_in_tasks"]
 
 
 def most_tasks(spark, action):
@@ -34,3 +35,11 @@ def test_tasks_share_the_cuts_of_a_large_file(spark, name):
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got[1])
     assert 1 < tasks <= 1.25 * TASKS  # the files have hundreds of cuts
     assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+
+
+def test_nested_records_are_scanned_once(spark, tmp_path):
+    (tmp_path / "in.xml").write_text("<rows><row><row>1</row></row><row>2</row></rows>")
+    got = nested_records(spark, [str(tmp_path / "in.xml")], "row")
+    assert sorted(r["xml"] for r in got.collect()) == ["<row>2</row>", "<row><row>1</row></row>"]
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan text") == 1
