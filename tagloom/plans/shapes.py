@@ -55,12 +55,13 @@ def small_cuts(spark: SparkSession):
 
 
 def _in_tasks(spark: SparkSession, path: str, schema: str, name: str, **options: object) -> DataFrame:
-    """A read of files that are cut every few kilobytes, and whether more than one task found some text (tasks)."""
+    """A read of files that are cut every few kilobytes, and whether a task other than the first found text in a later cut of a file (tasks)."""
     is_flat(spark, [path], "row")  # remembered; what it finds doesn't depend on the cuts
     with small_cuts(spark):
         rows = settled(spark, read_xml(spark, path, schema, rowTag="row", **options), name)
-        # the first task has the first cut, which always has text; the scan ends at the first text of another
-        one = Pieces("row").read(spark, path).where(F.spark_partition_id() > 0).limit(1).isEmpty()
+        # the first task has a first cut, which always has text; the scan ends at the first such text of another
+        later = (F.spark_partition_id() > 0) & (F.col("_metadata.file_block_start") > 0)
+        one = Pieces("row").read(spark, path).where(later).limit(1).isEmpty()
     return rows.withColumn("tasks", F.lit(not one))
 
 
@@ -80,12 +81,19 @@ def empty_records_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_tasks(spark, path, "_id bigint, _k bigint, s string", "empty").selectExpr("_id AS id", "_k AS k", "s")
 
 
+#: Packing takes a task some seconds for so many rows; a file of them has about 40 blocks.
+BZIP2_ROWS = 25_000
+
+
 @register("SELECT o_orderkey AS id, o_custkey AS k, true AS tasks FROM orders")
 def bzip2_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bz")
     # a block of bzip2 holds 900 kB of text, so records get some that does not shrink by its runs
     padded = f"replace({_NESTED}, '<k>', concat('<pad>', repeat(md5(string(o_orderkey)), 40), '</pad><k>'))"
-    parquet(spark, sf_dir, "orders").coalesce(1).selectExpr(padded).write.option("compression", "bzip2").text(path)
+    orders = parquet(spark, sf_dir, "orders")
+    files = -(-orders.count() // BZIP2_ROWS)
+    orders = orders.repartition(files) if files > 1 else orders.coalesce(1)
+    orders.selectExpr(padded).write.option("compression", "bzip2").text(path)
     return _in_tasks(spark, path, "_id bigint, k bigint", "bz").selectExpr("_id AS id", "k", "tasks")
 
 

@@ -9,7 +9,7 @@ from tagloom.plans.shapes import TASKS
 from tagloom.sources.records import nested_records
 
 SF = "/root/testdata/sf0.01"
-NAMES = ["corrupt_text_in_tasks", "empty_records_in_tasks", "nested_in_tasks"]
+NAMES = ["corrupt_text_in_tasks", "empty_records_in_tasks", "nested_in_tasks", "bzip2_in_tasks"]
 
 
 def most_tasks(spark, action):
