@@ -54,11 +54,13 @@ def small_cuts(spark: SparkSession):
         yield
 
 
-def _in_tasks(spark: SparkSession, path: str, schema: str, name: str, **options: object) -> DataFrame:
-    """A read of files that are cut every few kilobytes, and whether a task other than the first found text in a later cut of a file (tasks)."""
+def _in_tasks(spark: SparkSession, path: str, schema: str, name: str, tell: bool = True, **options: object) -> DataFrame:
+    """A read of files that are cut every few kilobytes, and with ``tell`` whether a task other than the first found text in a later cut of a file (tasks)."""
     is_flat(spark, [path], "row")  # remembered; what it finds doesn't depend on the cuts
     with small_cuts(spark):
         rows = settled(spark, read_xml(spark, path, schema, rowTag="row", **options), name)
+        if not tell:
+            return rows
         # the first task has a first cut, which always has text; the scan ends at the first such text of another
         later = (F.spark_partition_id() > 0) & (F.col("_metadata.file_block_start") > 0)
         one = Pieces("row").read(spark, path).where(later).limit(1).isEmpty()
@@ -74,11 +76,16 @@ def nested_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_tasks(spark, path, "_id bigint, k bigint", "nested").selectExpr("_id AS id", "k", "tasks")
 
 
+#: Records that one task writes as one file; of more, several tasks write files of about so many.
+FILE_ROWS = 1_000_000
+
+
 @register("SELECT o_orderkey AS id, o_custkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS s FROM orders")
 def empty_records_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "CASE WHEN o_orderkey % 3 = 0 THEN format_string('<row id=\"%d\" k=\"%d\"><s>%s</s></row>', o_orderkey, o_custkey, o_orderstatus) ELSE format_string('<row id=\"%d\" k=\"%d\"/>', o_orderkey, o_custkey) END"
-    path = texts(spark, parquet(spark, sf_dir, "orders").coalesce(1).selectExpr(text), "empty")
-    return _in_tasks(spark, path, "_id bigint, _k bigint, s string", "empty").selectExpr("_id AS id", "_k AS k", "s")
+    orders = parquet(spark, sf_dir, "orders")
+    path = texts(spark, orders.coalesce(max(1, -(-orders.count() // FILE_ROWS))).selectExpr(text), "empty")
+    return _in_tasks(spark, path, "_id bigint, _k bigint, s string", "empty", tell=False).selectExpr("_id AS id", "_k AS k", "s")
 
 
 #: Packing takes a task some seconds for so many rows; a file of them has about 40 blocks.
